@@ -37,8 +37,8 @@ def calendar_days(begin: ColumnLike, end: ColumnLike) -> Column:
 def elapsed_days(begin: ColumnLike, end: ColumnLike) -> Column:
     """Number of whole 24 h periods between the two, rounded down."""
     span = as_column(end) - as_column(begin)
-    days = F.extract(F.lit("DAY"), span)
-    return days - (span < F.make_dt_interval(days)).cast("int")
+    seconds = span.cast("interval second").cast("decimal(20,6)")
+    return F.floor(seconds / 86400).cast("bigint")
 
 
 def duration_hours(begin: ColumnLike, end: ColumnLike, given: ColumnLike | None = None) -> Column:

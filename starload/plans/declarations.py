@@ -45,7 +45,7 @@ from starload.plans.schemas import (
     STATE_NAMES,
 )
 from starload.sources import overwrite_table
-from starload.tables import materialize
+from starload.tables import materialize, side_by_side
 
 STATE_DIM = Dimension(
     tk="state_tk",
@@ -126,14 +126,17 @@ def clean_declarations(
     """
     rows = drop_null_keys(raw, ["incident_end_date"])
     begin, end = parse_timestamp("incident_begin_date"), parse_timestamp("incident_end_date")
-    elapsed = duration_elapsed(begin, end)
-    same_day = seeded_int(row_key, 24, f"{seed}:hours", low=1)
+    # A column of its own, so that the dates are parsed once per row.
+    rows = rows.withColumn("_elapsed", duration_elapsed(begin, end))
+    same_day = seeded_int(row_key, 24, f"{seed}:hours", low=1).cast("bigint")
     rows = rows.withColumns(
         {
             "deaths": seeded_int(row_key, 10_000, f"{seed}:deaths").cast("bigint"),
-            "incident_duration": F.when(elapsed == 0, same_day).otherwise(elapsed).cast("bigint"),
+            "incident_duration": F.when(F.col("_elapsed") == 0, same_day).otherwise(
+                F.col("_elapsed")
+            ),
         }
-    )
+    ).drop("_elapsed")
     rows = drop_columns(rows, [c for c in unused if c in rows.columns])
     rows = fill_unknown(rows)
     rows = rows.withColumns(
@@ -206,6 +209,8 @@ def normalize(
     distinct_counties: bool = True,
     county_ties: Sequence[str] = (),
 ) -> Tables:
+    """All keyed tables. The flat rows are read five times, so they are written once first."""
+    flat = materialize(flat, "flat")
     state = normalize_state(flat)
     county = normalize_county(flat, state, distinct_counties, county_ties)
     disaster = normalize_type(flat)
@@ -365,20 +370,21 @@ def build_star(
     staging = materialize(stage(flat, increment, ordinal="part", keep=keep), "staging")
     historical, added = staging.where("part = 0"), staging.where("part = 1")
 
-    state_dim = build_dimension([state, added], STATE_DIM, load_ts)
-    county_dim = build_dimension([county, added], COUNTY_DIM, load_ts)
-    disaster_dim = build_dimension([disaster, added], DISASTER_DIM, load_ts)
-    declaration_dim = build_dimension(
-        [typed_declarations(declaration), typed_declarations(increment)], DECLARATION_DIM, load_ts
-    )
-    dates_dim = backfill_dimension(
-        build_dimension([historical], DATES_DIM, load_ts), staging, DATES_DIM, load_ts
-    )
-    lookups = fact_lookups(state_dim, county_dim, disaster_dim, declaration_dim, dates_dim)
-    fact = disaster_fact(staging, lookups, tie_break)
-    return Star(
-        staging, state_dim, county_dim, disaster_dim, declaration_dim, dates_dim, fact
+    def dates() -> DataFrame:
+        known = build_dimension([historical], DATES_DIM, load_ts)
+        return backfill_dimension(known, added, DATES_DIM, load_ts)
+
+    declarations = [typed_declarations(declaration), typed_declarations(increment)]
+    dims = side_by_side(
+        staging.sparkSession,
+        lambda: build_dimension([state, added], STATE_DIM, load_ts),
+        lambda: build_dimension([county, added], COUNTY_DIM, load_ts),
+        lambda: build_dimension([disaster, added], DISASTER_DIM, load_ts),
+        lambda: build_dimension(declarations, DECLARATION_DIM, load_ts),
+        dates,
     )
+    fact = disaster_fact(staging, fact_lookups(*dims), tie_break)
+    return Star(staging, *dims, fact)
 
 
 def load_star(spark: SparkSession, star: Star, folder: str) -> DataFrame:

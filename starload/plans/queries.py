@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +53,7 @@ from starload.operators.split import complement, split_exact, split_hash
 from starload.plans import declarations as d
 from starload.plans import roles
 from starload.sources import overwrite_table, read_csv, readback_count, write_csv
-from starload.tables import fresh_path, materialize
+from starload.tables import fresh_path, materialize, side_by_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,12 +96,13 @@ def _staging(spark: SparkSession, sf_dir: str, ordinal: str | None = None) -> Da
 def _star(spark: SparkSession, sf_dir: str) -> d.Star:
     declaration = materialize(roles.declaration(spark, sf_dir), "declaration")
     increment, historical = split_hash(declaration, ["id"], roles.INCREMENT, roles.SPLIT_SEED)
+    increment_file = roles.untidy(roles.flat(spark, sf_dir, increment))
     return d.build_star(
         roles.state(spark, sf_dir),
         roles.county(spark, sf_dir),
         roles.disaster(spark, sf_dir),
         historical,
-        roles.untidy(roles.flat(spark, sf_dir, increment)),
+        materialize(increment_file, "increment"),
         LOAD_TS,
         tie_break=["declaration_request_number", "declaration_id"],
     )
@@ -344,13 +346,15 @@ def normalize_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("normalize_county")
 def normalize_county(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _flat_all(spark, sf_dir)
+    names = _flat_all(spark, sf_dir).select("declaration_id", "state_name", "county_name")
+    flat = materialize(names, "names")
     return d.normalize_county(flat, d.normalize_state(flat))
 
 
 @query("normalize_county_bag")
 def normalize_county_bag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = _flat_all(spark, sf_dir)
+    names = _flat_all(spark, sf_dir).select("declaration_id", "state_name", "county_name")
+    flat = materialize(names, "names")
     state = d.normalize_state(flat)
     return d.normalize_county(flat, state, distinct=False, ties=["declaration_id"])
 
@@ -525,17 +529,18 @@ def upsert_dimension_declaration(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- lookups -------------------------------------------------------------------------------
 
 
-def _historical_dim(spark: SparkSession, sf_dir: str, spec: Dimension) -> DataFrame:
-    return build_dimension([_flat_historical(spark, sf_dir)], spec, LOAD_TS)
-
-
 @query("resolve_by_name")
 def resolve_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _staging(spark, sf_dir).select(
-        "declaration_id", "state_name", "county_name", "incident_type"
+    names = _staging(spark, sf_dir, ordinal="part").select(
+        "declaration_id", "part", "state_name", "county_name", "incident_type"
+    )
+    rows = materialize(names, "names")
+    specs = [d.STATE_DIM, d.DISASTER_DIM, d.COUNTY_DIM]
+    historical = rows.where("part = 0")
+    dims = side_by_side(
+        spark, *[partial(build_dimension, [historical], spec, LOAD_TS) for spec in specs]
     )
-    for spec in (d.STATE_DIM, d.DISASTER_DIM, d.COUNTY_DIM):
-        dim = _historical_dim(spark, sf_dir, spec)
+    for spec, dim in zip(specs, dims):
         rows = resolve_key(rows, dim, spec.natural_key, spec.tk)
     return rows.select("declaration_id", "state_tk", "county_tk", "disaster_tk")
 
@@ -561,7 +566,7 @@ def resolve_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("resolve_or_drop")
 def resolve_or_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _staging(spark, sf_dir).select("declaration_id", "county_name")
-    dim = _historical_dim(spark, sf_dir, d.COUNTY_DIM)
+    dim = build_dimension([_flat_historical(spark, sf_dir)], d.COUNTY_DIM, LOAD_TS)
     return resolve_key(rows, dim, ["county_name"], "county_tk", on_miss="drop")
 
 
