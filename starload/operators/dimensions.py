@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.text import norm_str
+from starload.operators.cleanse import drop_null_keys
 from starload.operators.dedupe import dedupe
 from starload.operators.keys import append_keys, dense_key
 
@@ -48,9 +49,9 @@ def members(sources: Sequence[DataFrame], spec: Dimension) -> DataFrame:
     """
     required = [c for c in spec.natural_key if c not in spec.nullable_key]
     parts = [
-        source.select(*spec.columns)
-        .dropna(subset=required)
-        .withColumns({c: norm_str(c) for c in spec.normalized})
+        drop_null_keys(source.select(*spec.columns), required).withColumns(
+            {c: norm_str(c) for c in spec.normalized}
+        )
         for source in sources
     ]
     rows = parts[0]
@@ -118,7 +119,7 @@ def missing_members(
     """Distinct keys of ``rows`` that ``dim`` lacks. Keys are made distinct before the join."""
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
     names = {left: f"_member_{i}" for i, left in enumerate(pairs)}
-    keys = rows.select(*pairs).dropna(subset=[c for c in pairs if c not in null_safe]).distinct()
+    keys = drop_null_keys(rows.select(*pairs), [c for c in pairs if c not in null_safe]).distinct()
     known = dim.select(*[F.col(right).alias(names[left]) for left, right in pairs.items()])
     condition = F.lit(True)
     for left, member in names.items():

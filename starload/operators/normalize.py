@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.operators.cleanse import drop_null_keys
 from starload.operators.keys import append_keys, dense_key
 
 
@@ -21,7 +22,7 @@ def keyed_members(
 
     ``distinct=False`` keeps one row per input row; ``ties`` then fixes the order of equals.
     """
-    rows = df.select(*columns, *ties).dropna(subset=list(columns))
+    rows = drop_null_keys(df.select(*columns, *ties), columns)
     if distinct:
         rows = rows.distinct()
     return dense_key(rows, list(columns), id, ties=list(ties)).select(id, *columns)
@@ -32,7 +33,7 @@ def insert_if_absent(
 ) -> DataFrame:
     """``existing`` plus the distinct rows of ``incoming`` whose key it lacks, ids going on."""
     columns = [c for c in existing.columns if c != id]
-    rows = incoming.select(*columns).dropna(subset=list(key)).distinct()
+    rows = drop_null_keys(incoming.select(*columns), key).distinct()
     absent = rows.join(existing.select(*key), list(key), "left_anti")
     rest = [c for c in columns if c not in key]
     added = append_keys(existing, absent, list(key), id, ties=rest)

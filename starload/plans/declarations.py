@@ -12,11 +12,10 @@ from pyspark.sql import functions as F
 from starload.functions import (
     duration_elapsed,
     duration_hours,
-    iso_date,
     norm_str,
     seeded_int,
 )
-from starload.functions.dates import parse_timestamp
+from starload.functions.dates import ISO_DATE, ISO_TIMESTAMP, parse_timestamp
 from starload.operators.arrange import union_all
 from starload.operators.cleanse import (
     cast_columns,
@@ -125,23 +124,21 @@ def clean_declarations(
     ``row_key`` only.
     """
     rows = drop_null_keys(raw, ["incident_end_date"])
-    begin, end = parse_timestamp("incident_begin_date"), parse_timestamp("incident_end_date")
-    # A column of its own, so that the dates are parsed once per row.
-    rows = rows.withColumn("_elapsed", duration_elapsed(begin, end))
+    dates = ["declaration_date", "incident_begin_date", "incident_end_date"]
+    # Columns of their own, so that each date is parsed once per row.
+    rows = rows.withColumns({c: parse_timestamp(c, [ISO_TIMESTAMP]) for c in dates})
+    rows = rows.withColumn("_elapsed", duration_elapsed("incident_begin_date", "incident_end_date"))
+    elapsed = F.col("_elapsed")
     same_day = seeded_int(row_key, 24, f"{seed}:hours", low=1).cast("bigint")
     rows = rows.withColumns(
         {
             "deaths": seeded_int(row_key, 10_000, f"{seed}:deaths").cast("bigint"),
-            "incident_duration": F.when(F.col("_elapsed") == 0, same_day).otherwise(
-                F.col("_elapsed")
-            ),
+            "incident_duration": F.when(elapsed == 0, same_day).otherwise(elapsed),
         }
     ).drop("_elapsed")
     rows = drop_columns(rows, [c for c in unused if c in rows.columns])
     rows = fill_unknown(rows)
-    rows = rows.withColumns(
-        {c: iso_date(c) for c in ("incident_begin_date", "incident_end_date", "declaration_date")}
-    )
+    rows = rows.withColumns({c: F.date_format(c, ISO_DATE) for c in dates})
     rows = rows.withColumn("declaration_type", map_literal("declaration_type", types))
     if isinstance(states, DataFrame):
         rows = map_codes(rows, "state", states)
@@ -198,7 +195,9 @@ def normalize_declaration(
     flat: DataFrame, county: DataFrame, disaster: DataFrame, order: Sequence[str]
 ) -> DataFrame:
     """Declarations with ids in the order of ``order`` (which tells rows apart)."""
-    linked = link_declarations(flat, county, disaster).dropna(subset=["disaster_fk", "county_fk"])
+    linked = drop_null_keys(
+        link_declarations(flat, county, disaster), ["disaster_fk", "county_fk"]
+    )
     rows = linked.drop("state_name", "county_name", "incident_type")
     return dense_key(rows, list(order), "id")
 
