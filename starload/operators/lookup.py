@@ -1,8 +1,9 @@
 """Natural key to surrogate key.
 
-No join here carries a hint. Dimension tables are read from files, so Spark knows their size and
-broadcasts the ones under ``spark.sql.autoBroadcastJoinThreshold``; larger ones take a
-sort-merge join whose hot keys adaptive execution splits.
+No join here carries a hint. The members joined against are read from files, so Spark knows their
+size before it starts: it broadcasts those under ``spark.sql.autoBroadcastJoinThreshold`` and
+leaves the rows where they are. Larger ones take a sort-merge join, and because a scan (not an
+aggregate) feeds each side, adaptive execution can split the hot keys.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.tables import materialize
+
 
 def resolve_key(
     df: DataFrame,
@@ -28,8 +31,9 @@ def resolve_key(
 
     ``on``: shared names, or ``{column of df: column of dim}``. ``null_safe`` columns of ``df``
     match null with null. Several members with one natural key: the lowest ``tk`` wins
-    (``unique=True`` promises there are none and saves the check). ``on_miss``: "default" keeps
-    the row with ``default``, "null" keeps it without a key, "drop" leaves it out.
+    (they are reduced and written once; ``unique=True`` promises that ``dim`` is a table without
+    any and saves that). ``on_miss``: "default" keeps the row with ``default``, "null" keeps it
+    without a key, "drop" leaves it out.
     """
     if on_miss not in ("default", "null", "drop"):
         raise ValueError(f"on_miss: {on_miss}")
@@ -41,7 +45,9 @@ def resolve_key(
         F.col(tk).alias("_tk"),
     )
     if not unique:
-        members = members.groupBy(*names.values()).agg(F.min("_tk").alias("_tk"))
+        members = materialize(
+            members.groupBy(*names.values()).agg(F.min("_tk").alias("_tk")), "members"
+        )
     condition = F.lit(True)
     for left, member in names.items():
         if left in null_safe:

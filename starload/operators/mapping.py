@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.text import ColumnLike, as_column
+from starload.tables import materialize
 
 
 def map_codes(
@@ -22,9 +23,9 @@ def map_codes(
 ) -> DataFrame:
     """Put the name in place of the code (or in ``out``).
 
-    A code listed twice takes the name with the highest ``order``. The join carries no hint:
-    Spark broadcasts a mapping only if its known size is under the threshold, and shuffles
-    otherwise.
+    A code listed twice takes the name with the highest ``order``. The reduced mapping is written
+    once, so that Spark knows its size: it broadcasts a small one, and joins a large one by
+    sort-merge where hot codes can be split.
     """
     if order is None:
         winner = F.min(F.col(name))
@@ -35,6 +36,7 @@ def map_codes(
         .groupBy(F.col(code).alias("_code"))
         .agg(winner.alias("_name"))
     )
+    names = materialize(names, "codes")
     joined = df.join(names, F.col(column) == F.col("_code"), "left")
     mapped = F.coalesce(F.col("_name"), F.col(column)) if keep_unmapped else F.col("_name")
     return joined.withColumn(out or column, mapped).drop("_code", "_name")

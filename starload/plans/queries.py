@@ -88,19 +88,21 @@ def _flat_historical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staging(spark: SparkSession, sf_dir: str, ordinal: str | None = None) -> DataFrame:
-    historical = _flat_historical(spark, sf_dir)
-    increment = roles.increment_file(spark, sf_dir)
+    types = roles.disaster(spark, sf_dir)
+    historical = roles.flat(spark, sf_dir, _historical(spark, sf_dir), types)
+    increment = roles.increment_file(spark, sf_dir, types)
     return d.stage(historical, increment, ordinal, keep=["declaration_id"])
 
 
 def _star(spark: SparkSession, sf_dir: str) -> d.Star:
     declaration = materialize(roles.declaration(spark, sf_dir), "declaration")
     increment, historical = split_hash(declaration, ["id"], roles.INCREMENT, roles.SPLIT_SEED)
-    increment_file = roles.untidy(roles.flat(spark, sf_dir, increment))
+    types = roles.disaster(spark, sf_dir)
+    increment_file = roles.untidy(roles.flat(spark, sf_dir, increment, types))
     return d.build_star(
         roles.state(spark, sf_dir),
         roles.county(spark, sf_dir),
-        roles.disaster(spark, sf_dir),
+        types,
         historical,
         materialize(increment_file, "increment"),
         LOAD_TS,
@@ -384,8 +386,9 @@ def fk_first_match_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_if_absent_county(spark: SparkSession, sf_dir: str) -> DataFrame:
     historical, increment = roles.halves(spark, sf_dir)
     key = ["state_name", "county_name"]
-    existing = keyed_members(roles.flat(spark, sf_dir, historical), key)
-    return insert_if_absent(existing, roles.flat(spark, sf_dir, increment), key)
+    types = roles.disaster(spark, sf_dir)
+    existing = keyed_members(roles.flat(spark, sf_dir, historical, types), key)
+    return insert_if_absent(existing, roles.flat(spark, sf_dir, increment, types), key)
 
 
 @query("distinct_members")
@@ -454,7 +457,8 @@ def dim_county(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("dim_type")
 def dim_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sources = [roles.disaster(spark, sf_dir), roles.increment_file(spark, sf_dir)]
+    types = roles.disaster(spark, sf_dir)
+    sources = [types, roles.increment_file(spark, sf_dir, types)]
     return _dated(build_dimension(sources, d.DISASTER_DIM, LOAD_TS))
 
 

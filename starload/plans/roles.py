@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from starload.operators.split import split_hash
 from starload.plans.declarations import denormalize_declarations
 from starload.sources import read_parquet
+from starload.tables import materialize
 
 SPLIT_SEED = 1
 INCREMENT = 0.2
@@ -70,10 +71,12 @@ def _priority_id() -> F.Column:
 
 
 def disaster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once: joined as a table of known size, it needs no shuffle of the rows."""
     orders = table(spark, sf_dir, "orders")
-    return orders.select(
+    types = orders.select(
         _priority_id().alias("id"), F.col("o_orderpriority").alias("incident_type")
-    ).distinct()
+    )
+    return materialize(types.distinct(), "disaster")
 
 
 def declaration(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,11 +125,12 @@ def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return historical, increment
 
 
-def flat(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+def flat(
+    spark: SparkSession, sf_dir: str, rows: DataFrame, types: DataFrame | None = None
+) -> DataFrame:
     """Declarations with names in place of foreign keys; ``declaration_id`` tells rows apart."""
-    return denormalize_declarations(
-        rows, county(spark, sf_dir), state(spark, sf_dir), disaster(spark, sf_dir)
-    )
+    types = disaster(spark, sf_dir) if types is None else types
+    return denormalize_declarations(rows, county(spark, sf_dir), state(spark, sf_dir), types)
 
 
 def untidy(rows: DataFrame) -> DataFrame:
@@ -139,9 +143,11 @@ def untidy(rows: DataFrame) -> DataFrame:
     )
 
 
-def increment_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+def increment_file(
+    spark: SparkSession, sf_dir: str, types: DataFrame | None = None
+) -> DataFrame:
     _, increment = halves(spark, sf_dir)
-    return untidy(flat(spark, sf_dir, increment))
+    return untidy(flat(spark, sf_dir, increment, types))
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
