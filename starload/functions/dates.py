@@ -15,9 +15,11 @@ ISO_DATE = "yyyy-MM-dd"
 
 
 def parse_timestamp(c: ColumnLike, formats: Sequence[str] = (ISO_TIMESTAMP, ISO_DATE)) -> Column:
-    """First format that fits; null where none does."""
+    """First format that fits; null where none does. Without a zone, so that the clock changes
+    of the session's zone do not shorten or lengthen a day."""
     c = as_column(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return parsed.cast("timestamp_ntz")
 
 
 def parse_date(c: ColumnLike, formats: Sequence[str] = (ISO_TIMESTAMP, ISO_DATE)) -> Column:

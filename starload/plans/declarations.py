@@ -361,13 +361,18 @@ def build_star(
 ) -> Star:
     """Dimensions and fact from the keyed tables and an increment of flat rows.
 
-    Staging is written once and read by every later step; each reads only its columns.
-    ``tie_break`` names columns of both inputs that tell declarations apart.
+    Both parts of staging are written once and read by every later step; each reads only its
+    columns. ``increment`` is read twice, so pass a file or table. ``tie_break`` names columns of both inputs that tell declarations apart.
     """
     keep = [c for c in tie_break or () if c not in STAGING]
     flat = denormalize_declarations(declaration, county, state, disaster)
-    staging = materialize(stage(flat, increment, ordinal="part", keep=keep), "staging")
-    historical, added = staging.where("part = 0"), staging.where("part = 1")
+    spark = declaration.sparkSession
+    historical, added = side_by_side(
+        spark,
+        lambda: materialize(type_staging(flat, keep), "historical"),
+        lambda: materialize(type_staging(increment, keep), "increment"),
+    )
+    staging = union_all([historical, added])
 
     def dates() -> DataFrame:
         known = build_dimension([historical], DATES_DIM, load_ts)
@@ -375,7 +380,7 @@ def build_star(
 
     declarations = [typed_declarations(declaration), typed_declarations(increment)]
     dims = side_by_side(
-        staging.sparkSession,
+        spark,
         lambda: build_dimension([state, added], STATE_DIM, load_ts),
         lambda: build_dimension([county, added], COUNTY_DIM, load_ts),
         lambda: build_dimension([disaster, added], DISASTER_DIM, load_ts),

@@ -95,9 +95,12 @@ def _staging(spark: SparkSession, sf_dir: str, ordinal: str | None = None) -> Da
 
 
 def _star(spark: SparkSession, sf_dir: str) -> d.Star:
-    declaration = materialize(roles.declaration(spark, sf_dir), "declaration")
+    types, declaration = side_by_side(
+        spark,
+        lambda: roles.disaster(spark, sf_dir),
+        lambda: materialize(roles.declaration(spark, sf_dir), "declaration"),
+    )
     increment, historical = split_hash(declaration, ["id"], roles.INCREMENT, roles.SPLIT_SEED)
-    types = roles.disaster(spark, sf_dir)
     increment_file = roles.untidy(roles.flat(spark, sf_dir, increment, types))
     return d.build_star(
         roles.state(spark, sf_dir),

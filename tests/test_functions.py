@@ -15,6 +15,7 @@ from starload.functions import (
     seeded_int,
     tidy_text,
 )
+from starload.functions.dates import parse_timestamp
 
 
 def one(spark, value, make):
@@ -101,6 +102,13 @@ def test_duration_ignores_clock_changes_of_the_session(spark, settings):
     assert df.select(duration_elapsed("b", "e")).first()[0] == 24
 
 
+def test_parsed_timestamps_ignore_clock_changes_too(spark, settings):
+    settings(spark__sql__session__timeZone="America/New_York")
+    df = spark.sql("select '2005-03-01T00:00:00Z' b, '2005-05-01T00:00:00Z' e")
+    hours = duration_elapsed(parse_timestamp("b"), parse_timestamp("e"))
+    assert df.select(hours, iso_date("b")).first() == (61 * 24, "2005-03-01")
+
+
 def test_given_duration_wins(spark):
     df = spark.sql("select date'2020-01-01' b, date'2020-01-03' e, 7 g, cast(null as int) n")
     assert df.select(duration_hours("b", "e", "g"), duration_hours("b", "e", "n")).first() == (7, 48)
