@@ -304,7 +304,7 @@ def split_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("stage_typed")
 def stage_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.type_staging(roles.increment_file(spark, sf_dir), keep=["declaration_id"])
+    return d.type_staging(roles.untidy(_flat_all(spark, sf_dir)), keep=["declaration_id"])
 
 
 @query("stage_union")

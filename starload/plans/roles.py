@@ -20,6 +20,7 @@ INCREMENT = 0.2
 
 # Declared, so that reading a table starts no job of its own.
 SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
     "customer": """
         c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string
@@ -204,8 +205,7 @@ def county_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def state_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Code list that lacks the states of region 0, so some codes stay unmapped."""
-    nation = table(spark, sf_dir, "nation").where("n_regionkey > 0")
-    return nation.select(
-        F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("name")
+    """Region numbers as a code list: state codes beyond them stay unmapped."""
+    return table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("string").alias("code"), F.col("r_name").alias("name")
     )

@@ -243,8 +243,8 @@ TWINS["replace_text"] = """
 """
 
 TWINS["map_codes"] = """
-    select c_custkey, coalesce(n_name, cast(c_nationkey as varchar)) as state
-    from customer left join nation on n_nationkey = c_nationkey and n_regionkey > 0
+    select c_custkey, coalesce(r_name, cast(c_nationkey as varchar)) as state
+    from customer left join region on r_regionkey = c_nationkey
 """
 
 TWINS["map_codes_last_wins"] = """
@@ -323,7 +323,7 @@ TWINS["split_complement"] = f"""
 # ---- staging -------------------------------------------------------------------------------
 
 TWINS["stage_typed"] = f"""
-    with {_DECLARATION} select {_STAGING} from typed where is_increment
+    with {_DECLARATION} select {_STAGING} from typed
 """
 
 TWINS["stage_union"] = f"""
@@ -654,7 +654,7 @@ TWINS["fk_orphans"] = """
 TWINS["clean_declarations"] = f"""
     with {_DECLARATION}
     select declaration_request_number,
-        coalesce(n_name, cast(c_nationkey as varchar)) as state_name,
+        coalesce(r_name, cast(c_nationkey as varchar)) as state_name,
         case declaration_type
             when 'DR' then 'Velika katastrofa'
             when 'EM' then 'Upravljanje hitnim situacijama'
@@ -681,6 +681,6 @@ TWINS["clean_declarations"] = f"""
     from declaration
     join orders on o_orderkey = id
     join customer on c_custkey = county_fk
-    left join nation on n_nationkey = c_nationkey and n_regionkey > 0
+    left join region on r_regionkey = c_nationkey
     where incident_end_date is not null
 """
