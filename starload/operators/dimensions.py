@@ -136,7 +136,10 @@ def new_members(
     spec: Dimension,
     load_ts: datetime | str | None = None,
 ) -> DataFrame:
-    """Rows to append to ``dim``: members of ``sources`` it lacks, keyed on from its highest."""
+    """Rows to append to ``dim``: members of ``sources`` it lacks, keyed on from its highest.
+
+    Like ``backfill_rows`` they are written already.
+    """
     incoming = members(sources, spec)
     known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in spec.natural_key])
     condition = F.lit(True)
@@ -159,19 +162,29 @@ def upsert_dimension(
     return dim.unionByName(new_members(dim, sources, spec, load_ts))
 
 
-def backfill_dimension(
+def backfill_rows(
     dim: DataFrame,
     rows: DataFrame,
     spec: Dimension,
     load_ts: datetime | str | None = None,
 ) -> DataFrame:
-    """``dim`` plus the key combinations of ``rows`` it lacks; attributes stay empty.
+    """Rows to append to ``dim``: the key combinations of ``rows`` it lacks, attributes empty.
 
-    The new rows are already written to the shared folder, so the caller may append them to
-    the very table ``dim`` was read from.
+    They are already written to the shared folder, so they may be appended to the very table
+    ``dim`` was read from.
     """
     absent = missing_members(rows, dim, spec.natural_key, spec.nullable_key)
     keyed = append_keys(dim, absent, list(spec.natural_key), spec.tk)
     types = {f.name: f.dataType for f in dim.schema.fields}
     filled = keyed.withColumns({c: F.lit(None).cast(types[c]) for c in spec.attributes})
-    return dim.unionByName(with_validity(filled, spec, load_ts))
+    return with_validity(filled, spec, load_ts)
+
+
+def backfill_dimension(
+    dim: DataFrame,
+    rows: DataFrame,
+    spec: Dimension,
+    load_ts: datetime | str | None = None,
+) -> DataFrame:
+    """``dim`` plus its backfilled rows."""
+    return dim.unionByName(backfill_rows(dim, rows, spec, load_ts))

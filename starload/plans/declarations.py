@@ -43,7 +43,8 @@ from starload.plans.schemas import (
     STAGING,
     STATE_NAMES,
 )
-from starload.sources import overwrite_table
+from starload.sources import overwrite_table, read_jdbc, write_jdbc
+from starload.sources.jdbc import Partitioning
 from starload.tables import materialize, side_by_side
 
 STATE_DIM = Dimension(
@@ -101,6 +102,9 @@ FACT_TK = "disaster_fact_tk"
 FACT_KEYS = ["state_tk", "county_tk", "disaster_tk", "declaration_tk", "incident_dates_tk"]
 MEASURES = ["deaths"]
 
+# Width of text columns in a database.
+TEXT_WIDTH = 1000
+
 
 # ---- cleaning ------------------------------------------------------------------------------
 
@@ -391,8 +395,8 @@ def build_star(
     return Star(staging, *dims, fact)
 
 
-def load_star(spark: SparkSession, star: Star, folder: str) -> DataFrame:
-    """Write the star schema under ``folder`` (overwriting) and return the unknown-key report."""
+def star_tables(star: Star) -> dict[str, DataFrame]:
+    """Star tables by the name they are stored under; an empty one is an error."""
     tables = {
         "state_dim": star.state,
         "county_dim": star.county,
@@ -401,8 +405,66 @@ def load_star(spark: SparkSession, star: Star, folder: str) -> DataFrame:
         "incident_datesdim": star.dates,
         "disaster_fact": star.fact,
     }
+    return {name: require_rows(table, name) for name, table in tables.items()}
+
+
+def load_star(star: Star, folder: str) -> DataFrame:
+    """Write the star schema under ``folder`` (overwriting) and return the unknown-key report."""
     written = {
-        name: overwrite_table(require_rows(table, name), f"{folder}/{name}")
-        for name, table in tables.items()
+        name: overwrite_table(table, f"{folder}/{name}")
+        for name, table in star_tables(star).items()
     }
     return unknown_report(written["disaster_fact"], FACT_KEYS)
+
+
+# ---- database ------------------------------------------------------------------------------
+
+
+def read_tables_jdbc(
+    spark: SparkSession,
+    url: str,
+    properties: Mapping[str, str] | None = None,
+    declarations: Partitioning | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """State, County, Disaster and Declaration tables of a database, the last in ranges."""
+    state, county, disaster = (
+        read_jdbc(spark, url, f'"{name}"', properties) for name in ("State", "County", "Disaster")
+    )
+    return state, county, disaster, read_jdbc(
+        spark, url, '"Declaration"', properties, declarations
+    )
+
+
+def load_star_jdbc(
+    star: Star,
+    url: str,
+    properties: Mapping[str, str] | None = None,
+    schema: str = "public",
+    mode: str = "overwrite",
+    partitions: int | None = None,
+) -> None:
+    """Write the star schema to a database. Tables that exist are emptied, not dropped."""
+    for name, table in star_tables(star).items():
+        write_jdbc(
+            table,
+            url,
+            f"{schema}.{name}",
+            properties,
+            mode=mode,
+            truncate=True,
+            column_types=_column_types(table),
+            partitions=partitions,
+        )
+
+
+def _column_types(table: DataFrame) -> dict[str, str]:
+    """Database types; texts get a bounded VARCHAR."""
+    names = {
+        "bigint": "BIGINT",
+        "int": "INTEGER",
+        "timestamp": "TIMESTAMP",
+        "date": "DATE",
+        "boolean": "BOOLEAN",
+        "string": f"VARCHAR({TEXT_WIDTH})",
+    }
+    return {f.name: names[f.dataType.simpleString()] for f in table.schema.fields}

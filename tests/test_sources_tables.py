@@ -173,3 +173,14 @@ def test_declared_schemas_parse():
     declared = [schemas.RAW, schemas.CLEAN, schemas.STATE, schemas.COUNTY, schemas.DISASTER, schemas.DECLARATION]
     for ddl in [*declared, *roles.SCHEMAS.values()]:
         assert StructType.fromDDL(ddl).fields
+
+
+def test_tables_of_a_database(monkeypatch):
+    from starload.plans import declarations as d
+
+    read = []
+    monkeypatch.setattr(d, "read_jdbc", lambda spark, url, table, *more: read.append((table, *more)))
+    ranges = Partitioning("id", 1, 9, 3)
+    d.read_tables_jdbc(None, "jdbc:x", {"user": "u"}, ranges)
+    assert [r[0] for r in read] == ['"State"', '"County"', '"Disaster"', '"Declaration"']
+    assert read[3][2] is ranges

@@ -1,17 +1,20 @@
 """The whole way from a raw file to a loaded star, with the rows that go wrong."""
 
+from dataclasses import replace
 from datetime import date
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from starload.operators.arrange import union_all
+from starload.operators.dimensions import backfill_rows
+from starload.operators.keys import max_key
 from starload.operators.quality import fk_orphans, pk_violations
 from starload.operators.split import split_exact
 from starload.plans import declarations as d
 from starload.plans import schemas
-from starload.sources import read_csv, write_csv
-from starload.operators.arrange import union_all
+from starload.sources import append_table, overwrite_table, read_csv, write_csv
 
 HEADER = (
     "fema_declaration_string,declaration_request_number,state,declaration_type,declaration_date,"
@@ -143,7 +146,7 @@ def test_unknown_and_missing_go_to_member_0(star):
 
 def test_load_and_reload(spark, star, tmp_path):
     for _ in range(2):
-        report = d.load_star(spark, star, str(tmp_path / "dw")).first()
+        report = d.load_star(star, str(tmp_path / "dw")).first()
         assert report["n_rows"] == len(LINES) - 1 and report["unknown_incident_dates_tk"] == 1
     assert spark.read.parquet(str(tmp_path / "dw" / "disaster_fact")).count() == len(LINES) - 1
 
@@ -175,3 +178,33 @@ def test_state_miss_may_drop_the_row(star):
 def test_declaration_identity(spark, star):
     one = star.declaration.where("declaration_request_number = 12")
     assert rows(one, "declaration_title", "declaration_date") == [("A SIDE", date(2005, 9, 2))]
+
+
+def test_append_continues_keys(spark, star, tmp_path):
+    dim_path, fact_path = str(tmp_path / "dim"), str(tmp_path / "fact")
+    dates = overwrite_table(star.dates, dim_path)
+    later = star.staging.withColumn("incident_duration", F.lit(1_000_000).cast("bigint"))
+    added = backfill_rows(dates, later, d.DATES_DIM)
+    # Appended to the very table it was compared with.
+    dates = append_table(added, dim_path)
+    assert pk_violations(dates, ["incident_dates_tk"]).count() == 0
+    assert backfill_rows(dates, later, d.DATES_DIM).count() == 0
+
+    fact = overwrite_table(star.fact, fact_path)
+    lookups = d.fact_lookups(star.state, star.county, star.disaster, star.declaration, dates)
+    more = d.disaster_fact(later, lookups, start=max_key(fact, d.FACT_TK) + 1)
+    whole = append_table(more, fact_path)
+    assert whole.count() == 2 * star.fact.count() == max_key(whole, d.FACT_TK)
+    assert pk_violations(whole, [d.FACT_TK]).count() == 0
+
+
+def test_database_types(star):
+    assert d._column_types(star.declaration)["declaration_title"] == "VARCHAR(1000)"
+    for table in d.star_tables(star).values():
+        assert set(d._column_types(table)) == set(table.columns)
+
+
+def test_empty_table_is_not_loaded(star):
+    empty = replace(star, fact=star.fact.limit(0))
+    with pytest.raises(RuntimeError, match="disaster_fact"):
+        d.star_tables(empty)
