@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -18,8 +19,29 @@ def parse_timestamp(c: ColumnLike, formats: Sequence[str] = (ISO_TIMESTAMP, ISO_
     """First format that fits; null where none does. Without a zone, so that the clock changes
     of the session's zone do not shorten or lengthen a day."""
     c = as_column(c)
-    parsed = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    return parsed.cast("timestamp_ntz")
+    return F.coalesce(*[_try_format(c, f) for f in formats]).cast("timestamp_ntz")
+
+
+# Pattern fields that stand for as many digits as they have letters.
+_DIGITS = {"yyyy", "MM", "dd", "HH", "mm", "ss"}
+
+
+def _try_format(c: Column, format: str) -> Column:
+    """Parse, but only text of the right shape: a failed parse costs some twenty good ones."""
+    parsed = F.try_to_timestamp(c, F.lit(format))
+    shape = _shape(format)
+    return parsed if shape is None else F.when(c.like(shape), parsed)
+
+
+def _shape(format: str) -> str | None:
+    """LIKE pattern of the text a format reads; None if its width is not fixed."""
+    pieces = format.split("'")
+    plain, quoted = pieces[::2], pieces[1::2]
+    fields = [m[0] for piece in plain for m in re.finditer(r"([A-Za-z])\1*", piece)]
+    if not set(fields) <= _DIGITS or "" in quoted or re.search(r"[%_\\\[\]]", format):
+        return None
+    pieces[::2] = [re.sub("[A-Za-z]", "_", piece) for piece in plain]
+    return "".join(pieces)
 
 
 def parse_date(c: ColumnLike, formats: Sequence[str] = (ISO_TIMESTAMP, ISO_DATE)) -> Column:

@@ -15,7 +15,7 @@ from starload.functions import (
     seeded_int,
     tidy_text,
 )
-from starload.functions.dates import parse_timestamp
+from starload.functions.dates import _shape, parse_timestamp
 
 
 def one(spark, value, make):
@@ -102,6 +102,31 @@ def test_duration_ignores_clock_changes_of_the_session(spark, settings):
     assert df.select(duration_elapsed("b", "e")).first()[0] == 24
 
 
+@pytest.mark.parametrize(
+    "format, shape",
+    [
+        ("yyyy-MM-dd'T'HH:mm:ss'Z'", "____-__-__T__:__:__Z"),
+        ("yyyyMMdd", "________"),
+        ("'mm'yyyy", "mm____"),
+        ("d.M.yyyy", None),
+        ("dd MMMM yyyy", None),
+        ("yyyy[-MM]", None),
+        ("yyyy''MM", None),
+        ("yyyy_MM", None),
+    ],
+)
+def test_shape_of_a_format(format, shape):
+    assert _shape(format) == shape
+
+
+def test_parse_with_any_format(spark):
+    formats = ["d.M.yyyy", "dd MMMM yyyy", "yyyyMMdd"]
+    for text in ("1.2.2020", "01 February 2020", "20200201"):
+        assert one(spark, text, lambda c: parse_date(c, formats)) == date(2020, 2, 1)
+    assert one(spark, "20201332", lambda c: parse_date(c, formats)) is None
+    assert one(spark, "2020-02-0a", parse_date) is None
+
+
 def test_parsed_timestamps_ignore_clock_changes_too(spark, settings):
     settings(spark__sql__session__timeZone="America/New_York")
     df = spark.sql("select '2005-03-01T00:00:00Z' b, '2005-05-01T00:00:00Z' e")
