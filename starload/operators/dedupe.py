@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starload.operators.copies import expand_copies
+
 
 def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
     """The lowest row per key by ``order`` and then all other columns.
@@ -28,6 +30,11 @@ def duplicate_rejects(
 ) -> DataFrame:
     """The rows ``dedupe`` leaves out, each as often as it occurs.
 
-    A bag difference: it groups on whole rows, so the rows of a hot key stay spread out.
+    A bag difference on whole rows: equal rows are counted before the shuffle, the rows of a hot
+    key stay spread out, and many copies of one row are written by many tasks.
     """
-    return df.exceptAll(dedupe(df, key, order))
+    rows = df.withColumn("_copies", F.lit(1))
+    kept = dedupe(df, key, order).withColumn("_copies", F.lit(-1))
+    left = rows.unionByName(kept).groupBy(*df.columns).agg(F.sum("_copies").alias("_copies"))
+    copies = expand_copies(left.where("_copies > 0"), "_copies", "_copy")
+    return copies.select(*df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from starload.operators.copies import CHUNK, expand_copies
 from starload.tables import materialize
 
 # monotonically_increasing_id() holds the partition number above bit 33 and the row's place
@@ -51,7 +52,7 @@ def dense_key_bag(
     order: Sequence[str],
     name: str,
     start: int = 1,
-    chunk: int = 1 << 20,
+    chunk: int = CHUNK,
     maximum: int | None = None,
 ) -> DataFrame:
     """``dense_key`` for rows that may repeat in every column, however often.
@@ -70,16 +71,9 @@ def dense_key_bag(
     _check_maximum(start + total - 1, maximum)
     before = Window.partitionBy("_part").orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
     first = F.get(offsets, F.col("_part")) + F.coalesce(F.sum("_copies").over(before), F.lit(0))
-    size = F.lit(chunk).cast("bigint")
-    chunked = (
-        saved.withColumn("_part", part)
-        .withColumn("_first", first + F.lit(start))
-        .withColumn("_last", F.col("_first") + F.col("_copies") - 1)
-        .withColumn("_from", F.explode(F.sequence("_first", "_last", size)))
-    )
-    spread = chunked.repartition(F.col("_from"))
-    to = F.least(F.col("_from") + size - 1, F.col("_last"))
-    return spread.select(*columns, F.explode(F.sequence(F.col("_from"), to)).alias(name))
+    numbered = saved.withColumn("_part", part).withColumn("_first", first + F.lit(start))
+    copies = expand_copies(numbered, "_copies", "_copy", chunk)
+    return copies.select(*columns, (F.col("_first") + F.col("_copy")).alias(name))
 
 
 def _offsets(sizes: dict[int, int]) -> tuple[Column, int]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.cleanse import drop_null_keys
-from starload.operators.keys import append_keys, dense_key
+from starload.operators.keys import append_keys, dense_key, dense_key_bag
 
 
 def keyed_members(
@@ -20,11 +20,14 @@ def keyed_members(
 ) -> DataFrame:
     """Table of the values of ``columns`` with ids 1..n in their order.
 
-    ``distinct=False`` keeps one row per input row; ``ties`` then fixes the order of equals.
+    ``distinct=False`` keeps one row per input row; ``ties`` then fixes the order of equals, and
+    without them equal rows are numbered as a bag.
     """
     rows = drop_null_keys(df.select(*columns, *ties), columns)
     if distinct:
         rows = rows.distinct()
+    elif not ties:
+        return dense_key_bag(rows, list(columns), id).select(id, *columns)
     return dense_key(rows, list(columns), id, ties=list(ties)).select(id, *columns)
 
 

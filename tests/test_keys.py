@@ -3,6 +3,7 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings as hyp, strategies as st
 from pyspark.sql import functions as F
 
+from starload.operators.copies import expand_copies
 from starload.operators.keys import append_keys, dense_key, dense_key_bag, max_key, next_key
 
 
@@ -61,8 +62,7 @@ def test_bag_keys_are_a_permutation(spark, values):
     )
 
 
-def test_bag_splits_many_copies(spark, settings):
-    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+def test_bag_splits_many_copies(spark):
     df = spark.range(10_000).select(F.lit(0).alias("a"))
     keyed = dense_key_bag(df, ["a"], "tk", chunk=100)
     spread = keyed.groupBy(F.spark_partition_id()).count().collect()
@@ -70,6 +70,13 @@ def test_bag_splits_many_copies(spark, settings):
     assert keyed.agg(F.count("tk"), F.count_distinct("tk"), F.max("tk")).first() == (10_000,) * 3
 
 
+def test_expand_copies(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 4), ("d", 12)], "k string, n int")
+    out = expand_copies(df, "n", "i", chunk=4)
+    expected = [(k, n, i) for k, n in (("a", 1), ("b", 7), ("c", 4), ("d", 12)) for i in range(n)]
+    assert rows(out) == expected
+
+
 def test_next_and_append(spark):
     existing = spark.createDataFrame([(0,), (7,)], "tk bigint")
     empty = spark.createDataFrame([], "tk bigint")

@@ -85,6 +85,8 @@ def test_insert_if_absent(spark):
 def test_keyed_members_of_hot_value(spark):
     df = spark.createDataFrame([("a",)] * 20 + [("b",)], "n string")
     assert rows(keyed_members(df, ["n"])) == [(1, "a"), (2, "b")]
+    bag = keyed_members(df, ["n"], distinct=False)
+    assert rows(bag) == [*((i, "a") for i in range(1, 21)), (21, "b")]
 
 
 def test_reports(spark):
