@@ -50,9 +50,8 @@ def pk_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     has_null = F.lit(False)
     for c in columns:
         has_null |= F.col(c).isNull()
-    return (
-        df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows")).where((F.col("n_rows") > 1) | has_null)
-    )
+    counts = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_rows"))
+    return counts.where((F.col("n_rows") > 1) | has_null)
 
 
 def constraint_violations(

@@ -366,7 +366,8 @@ def build_star(
     """Dimensions and fact from the keyed tables and an increment of flat rows.
 
     Both parts of staging are written once and read by every later step; each reads only its
-    columns. ``increment`` is read twice, so pass a file or table. ``tie_break`` names columns of both inputs that tell declarations apart.
+    columns. ``increment`` is read twice, so pass a file or table. ``tie_break`` names columns
+    of both inputs that tell declarations apart.
     """
     keep = [c for c in tie_break or () if c not in STAGING]
     flat = denormalize_declarations(declaration, county, state, disaster)

@@ -241,11 +241,8 @@ def resolve_duration(spark: SparkSession, sf_dir: str) -> DataFrame:
 def duration_hours_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = roles.declaration(spark, sf_dir)
     hours = duration_hours("incident_begin_date", "incident_end_date").cast("bigint")
-    return rows.select(
-        "id",
-        hours.alias("hours"),
-        F.when(hours == 0, "same day").when(hours < 0, "backwards").otherwise("other").alias("kind"),
-    )
+    kind = F.when(hours == 0, "same day").when(hours < 0, "backwards").otherwise("other")
+    return rows.select("id", hours.alias("hours"), kind.alias("kind"))
 
 
 @query("duration_elapsed")

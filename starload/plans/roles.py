@@ -197,10 +197,10 @@ def county_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code list with every code twice: first its segment, then its name (which wins)."""
     customer = table(spark, sf_dir, "customer")
     code = county_code(F.col("c_custkey"))
-    first = customer.select(
-        F.lit(1).alias("line"), code.alias("code"), F.col("c_mktsegment").alias("name")
+    first, last = (
+        customer.select(F.lit(line).alias("line"), code.alias("code"), F.col(name).alias("name"))
+        for line, name in ((1, "c_mktsegment"), (2, "c_name"))
     )
-    last = customer.select(F.lit(2).alias("line"), code.alias("code"), F.col("c_name").alias("name"))
     return first.unionByName(last)
 
 

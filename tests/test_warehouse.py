@@ -208,3 +208,17 @@ def test_empty_table_is_not_loaded(star):
     empty = replace(star, fact=star.fact.limit(0))
     with pytest.raises(RuntimeError, match="disaster_fact"):
         d.star_tables(empty)
+
+
+def test_without_files_in_between(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("\n".join([HEADER, *LINES]) + "\n")
+    raw = read_csv(spark, str(tmp_path / "raw.csv"), schemas.RAW).withColumnRenamed("id", "row")
+    counties = spark.createDataFrame(COUNTIES, "line int, code string, name string")
+    clean = d.clean_declarations(raw, counties, row_key=["row"], order="line")
+    increment, historical = split_exact(clean, ["row"], 0.2, 1)
+    t = d.normalize(historical, ["row"])
+    star = d.build_star(
+        t.state, t.county, t.disaster, t.declaration, increment, tie_break=["row"]
+    )
+    assert star.fact.count() == len(LINES) - 1
+    assert rows(star.fact, "deaths") == rows(clean, "deaths")
