@@ -15,7 +15,6 @@ An empty table gives an empty result. Other columns of the input are not touched
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F

@@ -1,7 +1,7 @@
 """The queries of this package and the SQL of those that SQL can express."""
 
-from starload.llm import exact_dedup
+from starload.llm import exact_dedup, packing, simhash
 
-_MODULES = (exact_dedup,)
+_MODULES = (simhash, exact_dedup, packing)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 TWINS = {name: sql for module in _MODULES for name, sql in module.TWINS.items()}
