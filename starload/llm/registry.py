@@ -1,7 +1,29 @@
 """The queries of this package and the SQL of those that SQL can express."""
 
-from starload.llm import exact_dedup, packing, simhash
+from starload.llm import (
+    exact_dedup,
+    fingerprints,
+    hmm,
+    language,
+    mixing,
+    packing,
+    passages,
+    pii,
+    simhash,
+    toxicity,
+)
 
-_MODULES = (simhash, exact_dedup, packing)
+_MODULES = (
+    pii,
+    mixing,
+    packing,
+    simhash,
+    passages,
+    toxicity,
+    exact_dedup,
+    fingerprints,
+    language,
+    hmm,
+)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 TWINS = {name: sql for module in _MODULES for name, sql in module.TWINS.items()}

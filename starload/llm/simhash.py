@@ -219,6 +219,27 @@ def near_groups(
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
+def keep_one_per_group(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+) -> DataFrame:
+    """The rows of ``df`` that stay: of each group the document with the smallest id.
+
+    The ids that go are few against the texts; the texts are not shuffled where Spark may
+    broadcast them. Rows without id cannot lead a group or be named, and stay. Rows that share an
+    id are one document: they stay if it leads one of its groups.
+    """
+    spread = near_groups(df, id_col, text_col, shingle, distance)
+    ids = F.col(id_col)
+    leads = F.max(ids == F.col("component_id")).alias("leads")
+    gone = spread.where(ids.isNotNull()).groupBy(id_col).agg(leads).where("not leads")
+    gone = materialize(gone.select(F.col(id_col).alias("_gone")), "gone")
+    return df.join(gone, df[id_col] == gone["_gone"], "left_anti")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(documents(spark, sf_dir)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
