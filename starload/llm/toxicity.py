@@ -198,15 +198,23 @@ def strength(text: str, lexicon: Lexicon, machine: Step) -> tuple[float, float]:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-damped Newton steps; the weights of the matches stay at or above zero."""
-    w = np.zeros(x.shape[1])
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) + 1e-2 * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(len(w))
-        w -= np.linalg.solve(curve, slope)
-        w[1:] = np.maximum(w[1:], 0)
-    return w
+    """Newton steps with a ridge; a match never lowers a score, so a column whose weight would be
+    below zero is left out and the rest is fitted again."""
+    used = list(range(x.shape[1]))
+    while True:
+        part, w = x[:, used], np.zeros(len(used))
+        ridge = np.diag([0.0, *[0.5] * (len(used) - 1)]) + 1e-6 * np.eye(len(used))
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            curve = (part * (p * (1 - p))[:, None]).T @ part + ridge
+            step = np.linalg.solve(curve, part.T @ (p - y) + ridge @ w)
+            w -= step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
+        lowest = 1 + int(np.argmin(w[1:])) if len(used) > 1 else 0
+        if not lowest or w[lowest] >= 0:
+            fitted = np.zeros(x.shape[1])
+            fitted[used] = w
+            return fitted
+        del used[lowest]
 
 
 def train(
