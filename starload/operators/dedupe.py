@@ -12,7 +12,7 @@ from starload.operators.copies import expand_copies
 
 
 def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """The lowest row per key by ``order`` and then all other columns.
+    """The lowest row per key by ``order`` and then all other columns, nulls last.
 
     The filter on the row number lets Spark keep one row per key before the shuffle, so a hot
     key sends at most one row per map task.
@@ -21,7 +21,8 @@ def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None
     rest = [c for c in df.columns if c not in key and c not in order]
     if not order and not rest:
         return df.dropDuplicates()
-    window = Window.partitionBy(*key).orderBy(*order, *rest)
+    lowest = [F.col(c).asc_nulls_last() for c in (*order, *rest)]
+    window = Window.partitionBy(*key).orderBy(*lowest)
     return df.withColumn("_row", F.row_number().over(window)).where("_row = 1").drop("_row")
 
 

@@ -130,6 +130,18 @@ def missing_members(
     return keys.join(known, condition, "left_anti")
 
 
+def _absent(incoming: DataFrame, dim: DataFrame, spec: Dimension) -> DataFrame:
+    """The members of ``incoming`` whose natural key ``dim`` lacks."""
+    known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in spec.natural_key])
+    condition = F.lit(True)
+    for c in spec.natural_key:
+        if c in spec.nullable_key:
+            condition &= F.col(c).eqNullSafe(F.col(f"_known_{c}"))
+        else:
+            condition &= F.col(c) == F.col(f"_known_{c}")
+    return incoming.join(known, condition, "left_anti")
+
+
 def new_members(
     dim: DataFrame,
     sources: Sequence[DataFrame],
@@ -140,15 +152,7 @@ def new_members(
 
     Like ``backfill_rows`` they are written already.
     """
-    incoming = members(sources, spec)
-    known = dim.select(*[F.col(c).alias(f"_known_{c}") for c in spec.natural_key])
-    condition = F.lit(True)
-    for c in spec.natural_key:
-        if c in spec.nullable_key:
-            condition &= F.col(c).eqNullSafe(F.col(f"_known_{c}"))
-        else:
-            condition &= F.col(c) == F.col(f"_known_{c}")
-    absent = incoming.join(known, condition, "left_anti")
+    absent = _absent(members(sources, spec), dim, spec)
     return with_validity(append_keys(dim, absent, list(spec.natural_key), spec.tk), spec, load_ts)
 
 
@@ -168,15 +172,20 @@ def backfill_rows(
     spec: Dimension,
     load_ts: datetime | str | None = None,
 ) -> DataFrame:
-    """Rows to append to ``dim``: the key combinations of ``rows`` it lacks, attributes empty.
+    """Rows to append to ``dim``: the key combinations of ``rows`` it lacks.
 
+    Attributes that ``rows`` have are taken from the lowest row of a key; others stay empty.
     They are already written to the shared folder, so they may be appended to the very table
     ``dim`` was read from.
     """
-    absent = missing_members(rows, dim, spec.natural_key, spec.nullable_key)
+    carried = [c for c in spec.attributes if c in rows.columns]
+    required = [c for c in spec.natural_key if c not in spec.nullable_key]
+    incoming = drop_null_keys(rows.select(*spec.natural_key, *carried), required)
+    absent = _absent(dedupe(incoming, spec.natural_key), dim, spec)
     keyed = append_keys(dim, absent, list(spec.natural_key), spec.tk)
     types = {f.name: f.dataType for f in dim.schema.fields}
-    filled = keyed.withColumns({c: F.lit(None).cast(types[c]) for c in spec.attributes})
+    empty = [c for c in spec.attributes if c not in carried]
+    filled = keyed.withColumns({c: F.lit(None).cast(types[c]) for c in empty})
     return with_validity(filled, spec, load_ts)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starload.operators.keys import dense_key, dense_key_bag
 from starload.operators.lookup import resolve_key
+from starload.tables import materialize
 
 
 @dataclass(frozen=True)
@@ -21,7 +22,8 @@ class Lookup:
     on: Sequence[str]
     null_safe: Sequence[str] = ()
     on_miss: str = "default"
-    unique: bool = True
+    unique: bool = False
+    normalized: Sequence[str] = ()
 
 
 def resolve_all(staging: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
@@ -35,6 +37,7 @@ def resolve_all(staging: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
             null_safe=lookup.null_safe,
             on_miss=lookup.on_miss,
             unique=lookup.unique,
+            normalized=lookup.normalized,
         )
     return staging
 
@@ -61,5 +64,7 @@ def build_fact(
     else:
         rows = resolved.select(*keys, *measures, *[F.col(c).alias(f"_{c}") for c in tie_break])
         ties = [*[f"_{c}" for c in tie_break], *measures]
+        # A range sort reads its input twice; the lookups are done once, for these few columns.
+        rows = materialize(rows, "resolved")
         keyed = dense_key(rows, list(keys), fact_tk, start=start, ties=ties)
     return keyed.select(fact_tk, *keys, *measures)

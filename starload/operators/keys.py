@@ -34,9 +34,22 @@ def dense_key(
     The offsets (one number per partition) are a constant in the plan, so the result is a plain
     projection of a scan. ``order`` plus ``ties`` should tell rows apart: the range bounds are
     cut over all of them, which also splits a hot value of ``order``. Use ``dense_key_bag``
-    where whole rows repeat. Above ``maximum`` it raises.
+    where whole rows repeat. Above ``maximum`` it raises. The sort samples ``df`` before it reads
+    it, so write an input first that is costly to compute.
     """
-    placed = df.orderBy(*order, *ties).withColumn(_PLACE, F.monotonically_increasing_id())
+    return placed_key(df.orderBy(*order, *ties), name, start, step, maximum, label)
+
+
+def placed_key(
+    df: DataFrame,
+    name: str,
+    start: int = 1,
+    step: int = 1,
+    maximum: int | None = None,
+    label: str | None = None,
+) -> DataFrame:
+    """Number the rows of ``df`` in the order they already have (that of a sorted output)."""
+    placed = df.withColumn(_PLACE, F.monotonically_increasing_id())
     saved = materialize(placed, label or name)
     part = F.shiftright(_PLACE, _PLACE_BITS).cast("int")
     place = F.col(_PLACE).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starload.functions.text import norm_str
 from starload.tables import materialize
 
 
@@ -26,13 +27,15 @@ def resolve_key(
     default: int = 0,
     unique: bool = False,
     out: str | None = None,
+    normalized: Sequence[str] = (),
 ) -> DataFrame:
     """Add the key ``tk`` of the member of ``dim`` that matches.
 
     ``on``: shared names, or ``{column of df: column of dim}``. ``null_safe`` columns of ``df``
     match null with null. Several members with one natural key: the lowest ``tk`` wins
     (they are reduced and written once; ``unique=True`` promises that ``dim`` is a table without
-    any and saves that). ``on_miss``: "default" keeps the row with ``default``, "null" keeps it
+    any and saves that). ``normalized`` columns of ``dim`` are brought to the form of ``norm_str``
+    before they are compared. ``on_miss``: "default" keeps the row with ``default``, "null" keeps it
     without a key, "drop" leaves it out.
     """
     if on_miss not in ("default", "null", "drop"):
@@ -41,10 +44,13 @@ def resolve_key(
     out = out or tk
     names = {left: f"_member_{i}" for i, left in enumerate(pairs)}
     members = dim.select(
-        *[F.col(right).alias(names[left]) for left, right in pairs.items()],
+        *[
+            (norm_str(right) if right in normalized else F.col(right)).alias(names[left])
+            for left, right in pairs.items()
+        ],
         F.col(tk).alias("_tk"),
     )
-    if not unique:
+    if not unique or normalized:
         members = materialize(
             members.groupBy(*names.values()).agg(F.min("_tk").alias("_tk")), "members"
         )

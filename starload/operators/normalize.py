@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.operators.cleanse import drop_null_keys
+from starload.operators.dedupe import dedupe
 from starload.operators.keys import append_keys, dense_key, dense_key_bag
 
 
@@ -34,26 +35,28 @@ def keyed_members(
 def insert_if_absent(
     existing: DataFrame, incoming: DataFrame, key: Sequence[str], id: str = "id"
 ) -> DataFrame:
-    """``existing`` plus the distinct rows of ``incoming`` whose key it lacks, ids going on."""
+    """``existing`` plus one row (the lowest) per key of ``incoming`` that it lacks, ids going on."""
     columns = [c for c in existing.columns if c != id]
-    rows = drop_null_keys(incoming.select(*columns), key).distinct()
+    rows = dedupe(drop_null_keys(incoming.select(*columns), key), key)
     absent = rows.join(existing.select(*key), list(key), "left_anti")
-    rest = [c for c in columns if c not in key]
-    added = append_keys(existing, absent, list(key), id, ties=rest)
+    added = append_keys(existing, absent, list(key), id)
     return existing.unionByName(added.select(*existing.columns))
 
 
 def denormalize(
-    child: DataFrame, parents: Sequence[tuple[DataFrame, str, str]], hint: str | None = None
+    child: DataFrame,
+    parents: Sequence[tuple[DataFrame, str, str]],
+    hints: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Chain of left joins ``(parent, foreign key, parent id)``; the keys are used up.
 
-    ``hint="merge"`` asks for sort-merge joins; without it Spark chooses by size.
+    ``hints`` names a join strategy for the parents of some foreign keys (``{"county_fk":
+    "merge"}``); without one Spark chooses by size.
     """
     for parent, fk, id in parents:
         right = parent.withColumnRenamed(id, "_parent_id")
-        if hint:
-            right = right.hint(hint)
+        if fk in (hints or {}):
+            right = right.hint(hints[fk])
         child = child.join(right, F.col(fk) == F.col("_parent_id"), "left")
         child = child.drop("_parent_id", fk)
     return child

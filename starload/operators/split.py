@@ -7,21 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.functions.hashing import seeded_hash
+from starload.functions.hashing import DIGITS, hash_number, seeded_hash
+from starload.tables import materialize
 
-_DIGITS = 4
-_SMALL = 10_000
+#: Hex digits by which one histogram refines the cut: at most 65536 counts reach the driver.
+_REFINE = 4
 
 
 def split_hash(
     df: DataFrame, key: Sequence[str], fraction: float, seed: int | str
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, rest) by a cut on the key's hash: no job, no shuffle, near ``fraction``."""
-    cut = F.lit(format(round(fraction * 16**8), "08x"))
-    digits = F.substring(seeded_hash(key, seed), 1, 8)
-    if fraction >= 1:
+    _check(fraction)
+    cut = round(fraction * 16**DIGITS)
+    if cut == 16**DIGITS:
         return df, df.where(F.lit(False))
-    return df.where(digits < cut), df.where(digits >= cut)
+    number = hash_number(key, seed)
+    return df.where(number < F.lit(cut)), df.where(number >= F.lit(cut))
+
+
+def _check(fraction: float) -> None:
+    if not 0 <= fraction <= 1:
+        raise ValueError(f"fraction: {fraction}, not in 0 .. 1")
 
 
 def split_exact(
@@ -29,15 +36,17 @@ def split_exact(
 ) -> tuple[DataFrame, DataFrame]:
     """(sample, rest) where the sample has exactly ``round(fraction * n)`` rows.
 
-    The sample is the rows with the lowest hash of ``key``, which must tell rows apart. The cut
-    is found from histograms of hash prefixes (at most 65536 counts each), so no row is sorted
-    but those of one last small prefix; both halves are then plain filters.
+    The sample is the rows with the lowest hash of ``key``, which must tell rows apart. The hashes
+    are written once; histograms of their prefixes (at most 65536 counts each) refine the cut
+    until it falls between two counts. Both halves are plain filters of ``df``, so write an input
+    that is costly to compute first (``clean_to_halves`` does).
     """
+    _check(fraction)
     digest = seeded_hash(key, seed)
-    hashes = df.select(digest.alias("h"))
-    prefix, need, total, inside = "", None, None, None
-    while inside is None or inside > _SMALL:
-        length = len(prefix) + _DIGITS
+    hashes = materialize(df.select(digest.alias("h")), "hashes")
+    prefix, need, total = "", None, None
+    while True:
+        length = len(prefix) + _REFINE
         if length > 32:
             raise ValueError(f"{list(key)} does not tell the rows apart")
         counts = (
@@ -46,21 +55,19 @@ def split_exact(
             .count()
             .collect()
         )
-        if total is None:
+        if need is None:
             total = sum(r["count"] for r in counts)
             need = round(fraction * total)
             if need == 0 or need == total:
                 return df.where(F.lit(need > 0)), df.where(F.lit(need == 0))
         for row in sorted(counts, key=lambda r: r["p"]):
+            prefix = row["p"]
             if need <= row["count"]:
-                prefix, inside = row["p"], row["count"]
                 break
             need -= row["count"]
-    last = [r["h"] for r in hashes.where(F.col("h").startswith(prefix)).sort("h").collect()]
-    cut = last[need - 1]
-    if need < len(last) and last[need] == cut:
-        raise ValueError(f"{list(key)} does not tell the rows apart")
-    return df.where(digest <= cut), df.where(digest > cut)
+        if need == row["count"]:
+            head = F.substring(digest, 1, length)
+            return df.where(head <= prefix), df.where(head > prefix)
 
 
 def complement(df: DataFrame, sample: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -28,14 +28,17 @@ from starload.operators.cleanse import (
 from starload.operators.dimensions import (
     Dimension,
     backfill_dimension,
+    backfill_rows,
     build_dimension,
+    new_members,
 )
 from starload.operators.fact import Lookup, build_fact
-from starload.operators.keys import dense_key
+from starload.operators.keys import dense_key, max_key
 from starload.operators.lookup import resolve_key
 from starload.operators.mapping import map_codes, map_literal
 from starload.operators.normalize import denormalize, keyed_members
 from starload.operators.quality import require_rows, unknown_report
+from starload.operators.split import split_exact
 from starload.plans.schemas import (
     DECLARATION_TYPES,
     FLAGS,
@@ -43,7 +46,8 @@ from starload.plans.schemas import (
     STAGING,
     STATE_NAMES,
 )
-from starload.sources import overwrite_table, read_jdbc, write_jdbc
+from starload.sources import overwrite_table, read_jdbc, read_parquet, write_jdbc
+from starload.sources.batches import append_batch, resume_batch, switch_tables
 from starload.sources.jdbc import Partitioning
 from starload.tables import materialize, side_by_side
 
@@ -98,13 +102,19 @@ DATES_PAIR_DIM = Dimension(
     unknown={"incident_duration": 0},
 )
 
+#: The stored tables, dimensions first in the order of the fact's keys.
+STAR_TABLES = [
+    "state_dim",
+    "county_dim",
+    "disaster_dim",
+    "declaration_dim",
+    "incident_datesdim",
+    "disaster_fact",
+]
 FACT_TK = "disaster_fact_tk"
 FACT_KEYS = ["state_tk", "county_tk", "disaster_tk", "declaration_tk", "incident_dates_tk"]
 MEASURES = ["deaths"]
 
-# Width of text columns in a database.
-TEXT_WIDTH = 1000
-
 
 # ---- cleaning ------------------------------------------------------------------------------
 
@@ -152,6 +162,31 @@ def clean_declarations(
     return rename_columns(rows, {"fips": "county_name", "state": "state_name"})
 
 
+def clean_to_halves(
+    raw: DataFrame,
+    counties: DataFrame,
+    row_key: Sequence[str],
+    increment_path: str,
+    historical_path: str,
+    fraction: float = 0.2,
+    seed: int = 1,
+    **cleaning: object,
+) -> tuple[DataFrame, DataFrame]:
+    """Clean, split exactly and write both parts as Parquet; (increment, historical) as stored.
+
+    The cleaned rows are written once; the split reads the hash of their key and two filters.
+    """
+    cleaned = clean_declarations(raw, counties, row_key, seed=seed, **cleaning)
+    cleaned = materialize(cleaned, "clean")
+    increment, historical = split_exact(cleaned, row_key, fraction, seed)
+    stored = side_by_side(
+        raw.sparkSession,
+        lambda: overwrite_table(increment, increment_path),
+        lambda: overwrite_table(historical, historical_path),
+    )
+    return stored[0], stored[1]
+
+
 # ---- keyed tables --------------------------------------------------------------------------
 
 
@@ -190,7 +225,7 @@ def link_declarations(flat: DataFrame, county: DataFrame, disaster: DataFrame) -
     """Flat rows with both foreign keys, null on a miss. A county is found by name alone, and
     the first one (lowest id) of that name counts."""
     rows = resolve_key(
-        flat, disaster, ["incident_type"], "id", on_miss="null", out="disaster_fk"
+        flat, disaster, ["incident_type"], "id", on_miss="null", unique=True, out="disaster_fk"
     )
     return resolve_key(rows, county, ["county_name"], "id", on_miss="null", out="county_fk")
 
@@ -199,11 +234,13 @@ def normalize_declaration(
     flat: DataFrame, county: DataFrame, disaster: DataFrame, order: Sequence[str]
 ) -> DataFrame:
     """Declarations with ids in the order of ``order`` (which tells rows apart)."""
-    linked = drop_null_keys(
-        link_declarations(flat, county, disaster), ["disaster_fk", "county_fk"]
-    )
-    rows = linked.drop("state_name", "county_name", "incident_type")
-    return dense_key(rows, list(order), "id")
+    linked = materialize(link_declarations(flat, county, disaster), "linked")
+    return _linked_declarations(linked, order)
+
+
+def _linked_declarations(linked: DataFrame, order: Sequence[str]) -> DataFrame:
+    rows = drop_null_keys(linked, ["disaster_fk", "county_fk"])
+    return dense_key(rows.drop("state_name", "county_name", "incident_type"), list(order), "id")
 
 
 def normalize(
@@ -212,17 +249,18 @@ def normalize(
     distinct_counties: bool = True,
     county_ties: Sequence[str] = (),
 ) -> Tables:
-    """All keyed tables. The flat rows are read five times, so they are written once first."""
+    """All keyed tables. The flat rows and the linked ones are read several times, so each is
+    written once first."""
     flat = materialize(flat, "flat")
     state = normalize_state(flat)
     county = normalize_county(flat, state, distinct_counties, county_ties)
     disaster = normalize_type(flat)
-    linked = link_declarations(flat, county, disaster)
+    linked = materialize(link_declarations(flat, county, disaster), "linked")
     return Tables(
         state=state,
         county=county,
         disaster=disaster,
-        declaration=normalize_declaration(flat, county, disaster, order),
+        declaration=_linked_declarations(linked, order),
         rejects=linked.where(F.col("disaster_fk").isNull() | F.col("county_fk").isNull()),
     )
 
@@ -264,12 +302,14 @@ def denormalize_declarations(
     disaster: DataFrame,
     hint: str | None = None,
 ) -> DataFrame:
+    """``hint`` is for the join with the counties, the only large parent."""
     parents = [
         (county, "county_fk", "id"),
         (state, "state_fk", "id"),
         (disaster, "disaster_fk", "id"),
     ]
-    return denormalize(declaration.withColumnRenamed("id", "declaration_id"), parents, hint)
+    hints = {"county_fk": hint} if hint else None
+    return denormalize(declaration.withColumnRenamed("id", "declaration_id"), parents, hints)
 
 
 def stage(
@@ -316,13 +356,24 @@ def fact_lookups(
     declaration: DataFrame,
     dates: DataFrame,
     state_on_miss: str = "default",
-    unique: bool = True,
+    unique: bool = False,
+    untidy: bool = False,
 ) -> list[Lookup]:
-    """The five lookups, smallest dimension first."""
+    """The five lookups, smallest dimension first.
+
+    ``unique`` promises dimensions without doubled natural keys, as ``build_dimension`` makes
+    them; otherwise each is reduced to its lowest key per natural key first. ``untidy``
+    dimensions have their names normalised for the comparison.
+    """
+
+    def named(dim: DataFrame, tk: str, name: str, on_miss: str = "default") -> Lookup:
+        tidied = [name] if untidy else []
+        return Lookup(dim, tk, [name], on_miss=on_miss, unique=unique, normalized=tidied)
+
     return [
-        Lookup(state, "state_tk", ["state_name"], on_miss=state_on_miss, unique=unique),
-        Lookup(disaster, "disaster_tk", ["incident_type"], unique=unique),
-        Lookup(county, "county_tk", ["county_name"], unique=unique),
+        named(state, "state_tk", "state_name", state_on_miss),
+        named(disaster, "disaster_tk", "incident_type"),
+        named(county, "county_tk", "county_name"),
         Lookup(
             dates,
             "incident_dates_tk",
@@ -366,24 +417,25 @@ def build_star(
     """Dimensions and fact from the keyed tables and an increment of flat rows.
 
     Both parts of staging are written once and read by every later step; each reads only its
-    columns. ``increment`` is read twice, so pass a file or table. ``tie_break`` names columns
-    of both inputs that tell declarations apart.
+    columns. The increment's copy carries its declaration attributes too, so ``increment`` itself
+    is read once. ``tie_break`` names columns of both inputs that tell declarations apart.
     """
     keep = [c for c in tie_break or () if c not in STAGING]
+    more = [c for c in DECLARATION_DIM.attributes if c not in keep]
     flat = denormalize_declarations(declaration, county, state, disaster)
     spark = declaration.sparkSession
     historical, added = side_by_side(
         spark,
         lambda: materialize(type_staging(flat, keep), "historical"),
-        lambda: materialize(type_staging(increment, keep), "increment"),
+        lambda: materialize(type_staging(increment, [*keep, *more]), "increment"),
     )
-    staging = union_all([historical, added])
+    staging = union_all([historical, added.drop(*more)])
 
     def dates() -> DataFrame:
         known = build_dimension([historical], DATES_DIM, load_ts)
         return backfill_dimension(known, added, DATES_DIM, load_ts)
 
-    declarations = [typed_declarations(declaration), typed_declarations(increment)]
+    declarations = [typed_declarations(declaration), typed_declarations(added)]
     dims = side_by_side(
         spark,
         lambda: build_dimension([state, added], STATE_DIM, load_ts),
@@ -392,30 +444,76 @@ def build_star(
         lambda: build_dimension(declarations, DECLARATION_DIM, load_ts),
         dates,
     )
-    fact = disaster_fact(staging, fact_lookups(*dims), tie_break)
+    fact = disaster_fact(staging, fact_lookups(*dims, unique=True), tie_break)
     return Star(staging, *dims, fact)
 
 
 def star_tables(star: Star) -> dict[str, DataFrame]:
     """Star tables by the name they are stored under; an empty one is an error."""
-    tables = {
-        "state_dim": star.state,
-        "county_dim": star.county,
-        "disaster_dim": star.disaster,
-        "declaration_dim": star.declaration,
-        "incident_datesdim": star.dates,
-        "disaster_fact": star.fact,
-    }
+    tables = dict(
+        zip(
+            STAR_TABLES,
+            (star.state, star.county, star.disaster, star.declaration, star.dates, star.fact),
+        )
+    )
     return {name: require_rows(table, name) for name, table in tables.items()}
 
 
 def load_star(star: Star, folder: str) -> DataFrame:
-    """Write the star schema under ``folder`` (overwriting) and return the unknown-key report."""
-    written = {
-        name: overwrite_table(table, f"{folder}/{name}")
-        for name, table in star_tables(star).items()
-    }
-    return unknown_report(written["disaster_fact"], FACT_KEYS)
+    """Write the star schema under ``folder`` (overwriting) and return the unknown-key report.
+
+    The tables are written beside those in use; only when all are there are they put in their
+    place, so a load that fails leaves the earlier star whole.
+    """
+    tables = star_tables(star)
+    switch_tables(tables, folder)
+    spark = star.fact.sparkSession
+    return unknown_report(
+        read_parquet(spark, f"{folder}/disaster_fact", star.fact.schema), FACT_KEYS
+    )
+
+
+def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return {name: read_parquet(spark, f"{folder}/{name}") for name in STAR_TABLES}
+
+
+def apply_increment(
+    spark: SparkSession,
+    folder: str,
+    increment: DataFrame,
+    batch: str,
+    load_ts: datetime | str | None = None,
+    tie_break: Sequence[str] | None = None,
+) -> DataFrame:
+    """Add an increment of flat rows to the star stored under ``folder``; unknown-key report.
+
+    New members get the next keys, fact rows go on from the highest key, and stored rows are not
+    rewritten: the new files are written beside the tables and moved in at the end, the fact's
+    last. ``batch`` names the increment; one that is in already changes nothing, and one that
+    broke off while its files were moved is finished first.
+    """
+    if not resume_batch(spark, folder, STAR_TABLES, batch):
+        dims = stored_star(spark, folder)
+        keep = [c for c in tie_break or () if c not in STAGING]
+        more = [c for c in DECLARATION_DIM.attributes if c not in keep]
+        added = materialize(type_staging(increment, [*keep, *more]), "increment")
+        steps = [
+            lambda: new_members(dims["state_dim"], [added], STATE_DIM, load_ts),
+            lambda: new_members(dims["county_dim"], [added], COUNTY_DIM, load_ts),
+            lambda: new_members(dims["disaster_dim"], [added], DISASTER_DIM, load_ts),
+            lambda: new_members(
+                dims["declaration_dim"], [typed_declarations(added)], DECLARATION_DIM, load_ts
+            ),
+            lambda: backfill_rows(dims["incident_datesdim"], added, DATES_DIM, load_ts),
+        ]
+        new = dict(zip(STAR_TABLES, side_by_side(spark, *steps)))
+        whole = [dims[name].unionByName(rows) for name, rows in new.items()]
+        start = max_key(dims["disaster_fact"], FACT_TK) + 1
+        lookups = fact_lookups(*whole, unique=True)
+        new["disaster_fact"] = disaster_fact(added.drop(*more), lookups, tie_break, start)
+        append_batch(new, folder, batch)
+    fact = stored_star(spark, folder)["disaster_fact"]
+    return unknown_report(fact, FACT_KEYS)
 
 
 # ---- database ------------------------------------------------------------------------------
@@ -426,14 +524,19 @@ def read_tables_jdbc(
     url: str,
     properties: Mapping[str, str] | None = None,
     declarations: Partitioning | None = None,
+    counties: Partitioning | None = None,
+    single_task: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """State, County, Disaster and Declaration tables of a database, the last in ranges."""
-    state, county, disaster = (
-        read_jdbc(spark, url, f'"{name}"', properties) for name in ("State", "County", "Disaster")
-    )
-    return state, county, disaster, read_jdbc(
-        spark, url, '"Declaration"', properties, declarations
+    """State, County, Disaster and Declaration tables of a database, counties and declarations in
+    ranges. ``single_task`` says that one task may read a table whose ranges are not given."""
+    if not single_task and (declarations is None or counties is None):
+        raise ValueError("give ranges for declarations and counties, or say single_task")
+    ranges = {"County": counties, "Declaration": declarations}
+    state, county, disaster, declaration = (
+        read_jdbc(spark, url, f'"{name}"', properties, ranges.get(name))
+        for name in ("State", "County", "Disaster", "Declaration")
     )
+    return state, county, disaster, declaration
 
 
 def load_star_jdbc(
@@ -443,8 +546,10 @@ def load_star_jdbc(
     schema: str = "public",
     mode: str = "overwrite",
     partitions: int | None = None,
+    text_width: int | None = None,
 ) -> None:
-    """Write the star schema to a database. Tables that exist are emptied, not dropped."""
+    """Write the star schema to a database. Tables that exist are emptied, not dropped. Texts are
+    unbounded unless ``text_width`` asks for a VARCHAR of that width."""
     for name, table in star_tables(star).items():
         write_jdbc(
             table,
@@ -453,19 +558,19 @@ def load_star_jdbc(
             properties,
             mode=mode,
             truncate=True,
-            column_types=_column_types(table),
+            column_types=_column_types(table, text_width),
             partitions=partitions,
         )
 
 
-def _column_types(table: DataFrame) -> dict[str, str]:
-    """Database types; texts get a bounded VARCHAR."""
+def _column_types(table: DataFrame, text_width: int | None = None) -> dict[str, str]:
+    """Database types."""
     names = {
         "bigint": "BIGINT",
         "int": "INTEGER",
         "timestamp": "TIMESTAMP",
         "date": "DATE",
         "boolean": "BOOLEAN",
-        "string": f"VARCHAR({TEXT_WIDTH})",
+        "string": f"VARCHAR({text_width})" if text_width else "TEXT",
     }
     return {f.name: names[f.dataType.simpleString()] for f in table.schema.fields}

@@ -18,7 +18,7 @@ from starload.functions import (
     seeded_int,
     tidy_text,
 )
-from starload.operators.arrange import merge_sorted, sort_keys
+from starload.operators.arrange import merge_sorted, sorted_rows, union_all
 from starload.operators.cleanse import (
     drop_columns,
     drop_null_keys,
@@ -35,7 +35,8 @@ from starload.operators.dimensions import (
     upsert_dimension,
     without_unknown,
 )
-from starload.operators.keys import append_keys, dense_key, next_key
+from starload.operators.fact import resolve_all
+from starload.operators.keys import append_keys, dense_key, next_key, placed_key
 from starload.operators.lookup import fk_first_match, resolve_key
 from starload.operators.mapping import map_codes
 from starload.operators.normalize import insert_if_absent, keyed_members
@@ -52,7 +53,13 @@ from starload.operators.quality import (
 from starload.operators.split import complement, split_exact, split_hash
 from starload.plans import declarations as d
 from starload.plans import roles
-from starload.sources import overwrite_table, read_csv, readback_count, write_csv
+from starload.sources import (
+    overwrite_table,
+    read_csv,
+    readback_count,
+    split_rejects,
+    write_csv,
+)
 from starload.tables import fresh_path, materialize, side_by_side
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,7 +114,7 @@ def _star(spark: SparkSession, sf_dir: str) -> d.Star:
         roles.county(spark, sf_dir),
         types,
         historical,
-        materialize(increment_file, "increment"),
+        increment_file,
         LOAD_TS,
         tie_break=["declaration_request_number", "declaration_id"],
     )
@@ -124,6 +131,33 @@ def src_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, customer.schema)
 
 
+@query("src_csv_whole_text")
+def src_csv_whole_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes, empty and null, read in another order of columns."""
+    documents = roles.table(spark, sf_dir, "documents")
+    tenth = F.col("doc_id") % 10
+    text = F.when(tenth == 3, None).when(tenth == 4, "").otherwise(F.col("text"))
+    documents = documents.withColumn("text", text)
+    path = fresh_path(spark, "csv")
+    write_csv(documents.select(*reversed(documents.columns)), path, whole_text=True)
+    return read_csv(spark, path, documents.schema, whole_text=True)
+
+
+@query("src_csv_rejects")
+def src_csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines whose customer is not a number, as they stand in the file."""
+    wrong = F.concat(F.lit("x"), F.col("o_custkey").cast("string"))
+    key = F.when(F.col("o_orderkey") % 7 == 0, wrong).otherwise(F.col("o_custkey").cast("string"))
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", key.alias("o_custkey"))
+    path = fresh_path(spark, "csv")
+    write_csv(orders, path)
+    rows = read_csv(spark, path, "o_custkey bigint, o_orderkey bigint", on_bad="keep")
+    good, rejects = split_rejects(rows)
+    return rejects.unionByName(
+        good.select(F.concat_ws(",", "o_orderkey", "o_custkey").alias("line"))
+    )
+
+
 @query("src_sql_projection")
 def src_sql_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
@@ -267,6 +301,7 @@ def seeded_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         seeded_int(["o_orderkey"], 10_000, 1).alias("deaths"),
         seeded_int(["o_orderkey"], 24, 2, low=1).alias("hours"),
+        seeded_int(["o_orderkey"], 10**12, 3).alias("large"),
     )
 
 
@@ -289,6 +324,26 @@ def split_exact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(*split_exact(roles.table(spark, sf_dir, "orders"), ["o_orderkey"], 0.2, 1))
 
 
+@query("split_hash_bounds")
+def split_hash_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey")
+    parts = [
+        split_hash(orders, ["o_orderkey"], fraction, 1)[0].withColumn("fraction", F.lit(fraction))
+        for fraction in (0.0, 0.2, 0.9999999999, 1.0)
+    ]
+    return union_all(parts)
+
+
+@query("split_exact_pair")
+def split_exact_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that only differ in which part of the key is null."""
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey")
+    half = F.expr("o_orderkey div 2")
+    even = F.col("o_orderkey") % 2 == 0
+    orders = orders.withColumns({"a": F.when(even, half), "b": F.when(~even, half)})
+    return _labelled(*split_exact(orders, ["a", "b"], 0.3, 1))
+
+
 @query("split_complement")
 def split_complement(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = roles.table(spark, sf_dir, "orders")
@@ -319,7 +374,7 @@ def merge_sorted_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = roles.table(spark, sf_dir, "customer").select(F.col("c_name").alias("name"))
     suppliers = roles.table(spark, sf_dir, "supplier").select(F.lower("s_name").alias("name"))
     merged = merge_sorted([customers, suppliers], ["name"], case_sensitive=False)
-    return dense_key(merged, sort_keys(["name"], case_sensitive=False), "position")
+    return placed_key(merged, "position")
 
 
 @query("denormalize")
@@ -391,6 +446,17 @@ def insert_if_absent_county(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insert_if_absent(existing, roles.flat(spark, sf_dir, increment, types), key)
 
 
+@query("insert_if_absent_by_key")
+def insert_if_absent_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several incoming rows per key, which differ in a column beside it."""
+    customer = roles.table(spark, sf_dir, "customer").select(
+        F.expr("c_custkey div 4").alias("area"), "c_custkey", F.col("c_name").alias("name")
+    )
+    old = customer.where("c_custkey % 12 = 0").select("area", "name")
+    existing = dense_key(old, ["area"], "id")
+    return insert_if_absent(existing, customer, ["area"])
+
+
 @query("distinct_members")
 def distinct_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return roles.table(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority").distinct()
@@ -436,8 +502,9 @@ def append_keys_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sorted_rows")
 def sorted_rows_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = roles.table(spark, sf_dir, "customer").select("c_mktsegment", "c_name")
-    keys = sort_keys(["c_mktsegment", "c_name"], case_sensitive=False)
-    return dense_key(customer, keys, "position")
+    return placed_key(
+        sorted_rows(customer, ["c_mktsegment", "c_name"], case_sensitive=False), "position"
+    )
 
 
 # ---- dimensions ----------------------------------------------------------------------------
@@ -477,6 +544,15 @@ def dim_declaration_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _declaration_dim(spark, sf_dir, d.DECLARATION_FULL_DIM)
 
 
+@query("dim_declaration_nulls")
+def dim_declaration_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A missing title never stands for a request number that has one."""
+    rows = roles.declaration(spark, sf_dir)
+    title = F.when(F.col("id") % 3 > 0, F.col("declaration_title"))
+    rows = d.typed_declarations(rows.withColumn("declaration_title", title))
+    return _dated(build_dimension([rows], d.DECLARATION_DIM, LOAD_TS))
+
+
 @query("dim_dates")
 def dim_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = [d.typed_dates(half) for half in roles.halves(spark, sf_dir)]
@@ -574,6 +650,40 @@ def resolve_or_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_key(rows, dim, ["county_name"], "county_tk", on_miss="drop")
 
 
+@query("resolve_untidy")
+def resolve_untidy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension with doubled and untidy names: every row keeps its one lowest key."""
+    rows = roles.flat(spark, sf_dir, roles.declaration(spark, sf_dir))
+    staging = d.type_staging(rows, keep=["declaration_id"])
+    tidy = build_dimension([roles.county(spark, sf_dir)], d.COUNTY_DIM, LOAD_TS)
+    untidy = tidy.withColumns(
+        {
+            "county_tk": F.col("county_tk") + 1_000_000,
+            "county_name": F.concat(F.lit("  "), F.lower("county_name"), F.lit(" ")),
+        }
+    )
+    dim = tidy.unionByName(untidy)
+    lookup = d.Lookup(dim, "county_tk", ["county_name"], normalized=["county_name"])
+    return resolve_all(staging, [lookup]).select("declaration_id", "county_tk")
+
+
+@query("unknown_misses")
+def unknown_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names given as unknown, and states and types the dimensions lack, go to member 0."""
+    flat = _flat_all(spark, sf_dir)
+    third = F.col("declaration_id") % 3
+    state = F.when(third == 1, " unknown ").otherwise(F.col("state_name"))
+    rows = materialize(
+        d.type_staging(flat.withColumn("state_name", state), keep=["declaration_id"]), "rows"
+    )
+    known = rows.where("incident_type <> '5-LOW' and state_name not like '%A%'")
+    for spec in (d.STATE_DIM, d.DISASTER_DIM):
+        dim = build_dimension([known, rows.where("state_name = 'UNKNOWN'")], spec, LOAD_TS)
+        dim = dim.where("incident_type <> '5-LOW'") if spec is d.DISASTER_DIM else dim
+        rows = resolve_key(rows, dim, spec.natural_key, spec.tk)
+    return unknown_report(rows, ["state_tk", "disaster_tk"])
+
+
 # ---- fact ----------------------------------------------------------------------------------
 
 
@@ -679,3 +789,66 @@ def clean_declarations(spark: SparkSession, sf_dir: str) -> DataFrame:
         states=roles.state_codes(spark, sf_dir),
         order="line",
     )
+
+
+@query("clean_halves")
+def clean_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = roles.raw(spark, sf_dir).withColumn("row", F.col("id"))
+    increment, historical = d.clean_to_halves(
+        raw,
+        roles.county_codes(spark, sf_dir),
+        ["row"],
+        fresh_path(spark, "increment"),
+        fresh_path(spark, "historical"),
+        states=roles.state_codes(spark, sf_dir),
+        order="line",
+    )
+    columns = ["row", "county_name", "state_name", "deaths"]
+    return union_all(
+        [
+            increment.select(*columns, F.lit("increment").alias("half")),
+            historical.select(*columns, F.lit("historical").alias("half")),
+        ]
+    )
+
+
+@query("apply_increment")
+def apply_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact with its natural keys, half of the increment loaded with the star and half
+    added later, twice (the second time changes nothing)."""
+    types = roles.disaster(spark, sf_dir)
+    historical, increment = roles.halves(spark, sf_dir)
+    first, later = (
+        roles.untidy(roles.flat(spark, sf_dir, increment.where(half), types))
+        for half in ("id % 2 = 0", "id % 2 = 1")
+    )
+    ties = ["declaration_request_number", "declaration_id"]
+    star = d.build_star(
+        roles.state(spark, sf_dir),
+        roles.county(spark, sf_dir),
+        types,
+        historical,
+        first,
+        LOAD_TS,
+        tie_break=ties,
+    )
+    folder = fresh_path(spark, "star")
+    d.load_star(star, folder)
+    for _ in range(2):
+        d.apply_increment(spark, folder, later, "later", LOAD_TS, ties)
+    stored = d.stored_star(spark, folder)
+    loaded = star.fact.count()
+    rows = stored["disaster_fact"].withColumn("is_later", F.col(d.FACT_TK) > loaded)
+    for name, tk in zip(d.STAR_TABLES, d.FACT_KEYS):
+        rows = rows.join(stored[name].drop("version", "date_from", "date_to"), tk)
+    return rows.select(
+        F.col(d.FACT_TK).between(1, stored["disaster_fact"].count()).alias("in_range"),
+        "is_later",
+        "state_name",
+        "county_name",
+        "incident_type",
+        "declaration_request_number",
+        "incident_begin_date",
+        "incident_duration",
+        "deaths",
+    )

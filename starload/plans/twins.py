@@ -290,10 +290,12 @@ TWINS["duration_elapsed"] = """
 
 TWINS["seeded_measure"] = """
     select o_orderkey,
-        cast(cast('0x' || substr(md5('1:' || o_orderkey), 1, 8) as bigint) % 10000 as integer)
+        cast('0x' || substr(md5('1:' || o_orderkey), 1, 15) as bigint) % 10000
             as deaths,
-        cast(cast('0x' || substr(md5('2:' || o_orderkey), 1, 8) as bigint) % 24 + 1 as integer)
-            as hours
+        cast('0x' || substr(md5('2:' || o_orderkey), 1, 15) as bigint) % 24 + 1
+            as hours,
+        cast('0x' || substr(md5('3:' || o_orderkey), 1, 15) as bigint) % 1000000000000
+            as large
     from orders
 """
 
@@ -651,9 +653,9 @@ TWINS["fk_orphans"] = """
 
 # ---- end to end ----------------------------------------------------------------------------
 
-TWINS["clean_declarations"] = f"""
-    with {_DECLARATION}
-    select declaration_request_number,
+def _clean(more: str = "") -> str:
+    return f"""
+    select {more} declaration_request_number,
         coalesce(r_name, cast(c_nationkey as varchar)) as state_name,
         case declaration_type
             when 'DR' then 'Velika katastrofa'
@@ -671,11 +673,11 @@ TWINS["clean_declarations"] = f"""
         cast(ia_program_declared as integer) as ia_program_declared,
         cast(pa_program_declared as integer) as pa_program_declared,
         cast(hm_program_declared as integer) as hm_program_declared,
-        cast('0x' || substr(md5('1:deaths:' || id), 1, 8) as bigint) % 10000 as deaths,
+        cast('0x' || substr(md5('1:deaths:' || id), 1, 15) as bigint) % 10000 as deaths,
         case
             when declaration_type = 'FM' then null
             when incident_begin_date = incident_end_date
-                then cast('0x' || substr(md5('1:hours:' || id), 1, 8) as bigint) % 24 + 1
+                then cast('0x' || substr(md5('1:hours:' || id), 1, 15) as bigint) % 24 + 1
             else date_diff('day', incident_begin_date, incident_end_date) * 24
         end as incident_duration
     from declaration
@@ -684,3 +686,102 @@ TWINS["clean_declarations"] = f"""
     left join region on r_regionkey = c_nationkey
     where incident_end_date is not null
 """
+
+
+TWINS["clean_declarations"] = f"with {_DECLARATION} {_clean()}"
+
+# ---- later additions -----------------------------------------------------------------------
+
+TWINS["src_csv_whole_text"] = """
+    select doc_id, case doc_id % 10 when 3 then null when 4 then '' else text end as text,
+        lang, source, n_chars
+    from documents
+"""
+
+TWINS["src_csv_rejects"] = """
+    select o_orderkey || ',' || case when o_orderkey % 7 = 0 then 'x' else '' end || o_custkey
+        as line
+    from orders
+"""
+
+TWINS["split_hash_bounds"] = " union all ".join(
+    f"""
+    select o_orderkey, {fraction}::double as fraction from orders
+    where cast('0x' || substr(md5('1:' || o_orderkey), 1, 15) as bigint) < {round(fraction * 16**15)}
+    """
+    for fraction in (0.0, 0.2, 0.9999999999, 1.0)
+)
+
+TWINS["split_exact_pair"] = """
+    select o_orderkey,
+        case when row_number() over (order by md5('1:' || a || ':' || b))
+            <= round_even(0.3 * count(*) over (), 0) then 'sample' else 'rest' end as half
+    from (
+        select o_orderkey,
+            case when o_orderkey % 2 = 0 then length(half) || '=' || half else 'null' end as a,
+            case when o_orderkey % 2 = 1 then length(half) || '=' || half else 'null' end as b
+        from (select o_orderkey, cast(o_orderkey // 2 as varchar) as half from orders)
+    )
+"""
+
+TWINS["insert_if_absent_by_key"] = """
+    with old as (
+        select row_number() over (order by c_custkey // 4) as id, c_custkey // 4 as area,
+            c_name as name
+        from customer where c_custkey % 12 = 0
+    )
+    select * from old
+    union all
+    select (select count(*) from old) + row_number() over (order by area), area, name
+    from (
+        select c_custkey // 4 as area, min(c_name) as name from customer
+        where c_custkey // 4 not in (select area from old) group by 1
+    )
+"""
+
+TWINS["dim_declaration_nulls"] = f"""
+    with {_DECLARATION},
+    titled as (
+        select * replace (case when id % 3 > 0 then declaration_title end as declaration_title)
+        from declaration
+    )
+    {_UNKNOWN_DECLARATION} union all {_declaration_dim(_first_declarations("titled"))}
+"""
+
+TWINS["resolve_untidy"] = f"""
+    with {_DECLARATION},
+    dim as ({_named_dim("county_tk", "county_name",
+        "select upper(c_name) as county_name from customer")})
+    select declaration_id, coalesce(county_tk, 0) as county_tk
+    from typed left join dim using (county_name)
+"""
+
+TWINS["unknown_misses"] = f"""
+    with {_DECLARATION}
+    select count(*) as n_rows,
+        cast(sum(cast(declaration_id % 3 = 1 or state_name like '%A%' as integer)) as bigint)
+            as unknown_state_tk,
+        cast(sum(cast(incident_type = '5-LOW' as integer)) as bigint) as unknown_disaster_tk
+    from typed
+"""
+
+TWINS["clean_halves"] = f"""
+    with {_DECLARATION},
+    clean as ({_clean("id,")})
+    select cast(id as varchar) as row, county_name, state_name, deaths,
+        case when row_number() over (order by md5('1:' || id))
+            <= round_even(0.2 * count(*) over (), 0) then 'increment' else 'historical' end as half
+    from clean
+"""
+
+TWINS["apply_increment"] = f"""
+    with {_DECLARATION}
+    select true as in_range, is_increment and declaration_id % 2 = 1 as is_later,
+        state_name, county_name, incident_type, declaration_request_number,
+        case when incident_end_date is not null then incident_begin_date end
+            as incident_begin_date,
+        case when incident_end_date is not null then incident_duration else 0 end
+            as incident_duration,
+        deaths
+    from typed
+"""

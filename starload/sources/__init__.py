@@ -7,6 +7,7 @@ from starload.sources.files import (
     read_csv,
     read_parquet,
     readback_count,
+    split_rejects,
     write_csv,
 )
 from starload.sources.jdbc import max_key_query, read_jdbc, read_jdbc_query, write_jdbc
@@ -21,6 +22,7 @@ __all__ = [
     "read_jdbc_query",
     "read_parquet",
     "readback_count",
+    "split_rejects",
     "write_csv",
     "write_jdbc",
 ]

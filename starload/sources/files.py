@@ -4,11 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starload.tables import materialize
 
 
+#: How null is written where the whole text has to survive: an empty field is then empty text.
+NULL_TEXT = "\\N"
+_REJECT = "_reject"
+
+
+def _options(delimiter: str, quote: str, whole_text: bool) -> dict[str, object]:
+    options: dict[str, object] = {"header": True, "sep": delimiter, "quote": quote, "escape": quote}
+    if whole_text:
+        options |= {"nullValue": NULL_TEXT, "emptyValue": ""}
+    return options
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -17,34 +29,71 @@ def read_csv(
     quote: str = '"',
     trim: bool = False,
     date_format: str = "yyyy-MM-dd",
+    whole_text: bool = False,
+    on_bad: str = "fail",
     **options: str,
 ) -> DataFrame:
-    """CSV with a header and declared types: no inference pass, codes keep leading zeros."""
-    return (
-        spark.read.schema(schema)
-        .options(
-            header=True,
-            sep=delimiter,
-            quote=quote,
-            escape=quote,
-            dateFormat=date_format,
-            ignoreLeadingWhiteSpace=trim,
-            ignoreTrailingWhiteSpace=trim,
-            **options,
-        )
-        .csv(path)
-    )
-
-
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", delimiter: str = ",") -> None:
-    """CSV parts with a header and no index column. Outer spaces and quotes survive."""
-    df.write.mode(mode).options(
-        header=True,
-        sep=delimiter,
-        escape='"',
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    """CSV with a header and declared types: no inference pass, codes keep leading zeros.
+
+    Columns are found by the names in the header, in whatever order they stand; a missing one is
+    an error, further ones are left out. All files of ``path`` must have the same header.
+
+    A value that does not fit its type raises when the row is read; ``on_bad="keep"`` reads it as
+    null and keeps the line in the column ``_reject`` (null for good rows), see ``split_rejects``.
+
+    ``whole_text`` reads what ``write_csv(whole_text=True)`` wrote: line breaks inside texts, and
+    empty texts apart from null. Such a file cannot be split, so write it in many parts.
+    """
+    if on_bad not in ("fail", "keep"):
+        raise ValueError(f"on_bad: {on_bad}")
+    reading = _options(delimiter, quote, whole_text) | {
+        "dateFormat": date_format,
+        "ignoreLeadingWhiteSpace": trim,
+        "ignoreTrailingWhiteSpace": trim,
+        "multiLine": whole_text,
+        "enforceSchema": False,
+        "mode": "FAILFAST" if on_bad == "fail" else "PERMISSIVE",
+        **options,
+    }
+    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    header = spark.read.options(**reading).csv(path).columns
+    missing = [f.name for f in declared.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    wanted = {f.name: f for f in declared.fields}
+    there = [wanted.get(name, StructField(name, StringType())) for name in header]
+    names = declared.names
+    if on_bad == "keep":
+        there.append(StructField(_REJECT, StringType()))
+        names = [*names, _REJECT]
+        reading["columnNameOfCorruptRecord"] = _REJECT
+    rows = spark.read.schema(StructType(there)).options(**reading).csv(path)
+    return rows.select(*[F.col(f"`{name}`") for name in names])
+
+
+def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows, lines that did not fit) of ``read_csv(on_bad="keep")``, read once."""
+    saved = materialize(rows, "read")
+    good = saved.where(F.col(_REJECT).isNull()).drop(_REJECT)
+    return good, saved.where(F.col(_REJECT).isNotNull()).select(F.col(_REJECT).alias("line"))
+
+
+def write_csv(
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    delimiter: str = ",",
+    whole_text: bool = False,
+) -> None:
+    """CSV parts with a header and no index column. Outer spaces and quotes survive;
+    with ``whole_text`` also line breaks and the difference between empty and null."""
+    writing = _options(delimiter, '"', whole_text) | {
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    if whole_text:
+        writing |= {"quoteAll": True, "emptyValue": '""'}
+    df.write.mode(mode).options(**writing).csv(path)
 
 
 def read_parquet(

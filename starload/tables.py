@@ -22,8 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application writes its intermediate tables; remove it after the final write."""
+    return f"{shared_folder(spark)}/starload-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/starload-{label}-{uuid4().hex}"
+    return f"{run_folder(spark)}/{label}-{uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -28,7 +28,7 @@ def test_dedupe_keeps_the_lowest_row(requests):
     assert rows(dedupe(requests.repartition(4), ["request"])) == expected
     assert rows(dedupe(requests, ["request"], ["n"])) == [
         (None, "wind", 1),
-        (7, "flood", None),
+        (7, "fire", 1),  # a missing value comes last
         (8, "storm", 5),
     ]
 
@@ -68,8 +68,7 @@ def test_split_exact_has_the_exact_size(spark, n, fraction):
 
 
 def test_split_exact_refines_a_large_prefix(spark, monkeypatch):
-    monkeypatch.setattr("starload.operators.split._SMALL", 1)
-    monkeypatch.setattr("starload.operators.split._DIGITS", 1)
+    monkeypatch.setattr("starload.operators.split._REFINE", 1)
     sample, rest = split_exact(spark.range(500), ["id"], 0.3, 1)
     assert (sample.count(), rest.count()) == (150, 350)
 
@@ -78,11 +77,33 @@ def test_split_exact_refuses_an_ambiguous_key(spark, monkeypatch):
     df = spark.range(100).select(F.lit(1).alias("k"))
     with pytest.raises(ValueError):
         split_exact(df, ["k"], 0.2, 1)
-    monkeypatch.setattr("starload.operators.split._SMALL", 10)
+    monkeypatch.setattr("starload.operators.split._REFINE", 7)
     with pytest.raises(ValueError):
         split_exact(df, ["k"], 0.2, 1)
 
 
+@pytest.mark.parametrize("split", [split_exact, split_hash])
+def test_fractions_beyond_the_range_are_refused(spark, split):
+    for fraction in (-0.1, 1.1):
+        with pytest.raises(ValueError):
+            split(spark.range(3), ["id"], fraction, 1)
+
+
+def test_a_fraction_just_below_one_takes_nearly_all(spark):
+    assert split_hash(spark.range(10_000), ["id"], 0.9999999999, 1)[0].count() == 10_000
+
+
+def test_null_parts_of_a_key_stay_apart(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (11, None), (None, 11)], "a int, b int")
+    sample, rest = split_exact(df, ["a", "b"], 0.5, 1)
+    assert (sample.count(), rest.count()) == (2, 2)
+
+
+def test_a_missing_value_never_wins_over_a_given_one(spark):
+    df = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None)], "k int, v string")
+    assert rows(dedupe(df, ["k"])) == [(1, "a"), (2, None)]
+
+
 def test_union_by_name_and_order(spark):
     a = spark.sql("select 1 x, 'b' y")
     b = spark.sql("select 'A' y, 2 x")

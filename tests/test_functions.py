@@ -149,6 +149,22 @@ def test_seeded_int_depends_on_seed_and_key_only(spark):
     assert {h for _, h in first} == set(range(1, 25))
 
 
+def test_seeded_int_of_a_large_range(spark):
+    got = spark.range(2000).select(seeded_int(["id"], 10**12, 1).alias("h")).agg({"h": "max"})
+    assert 2**32 < got.first()[0] < 10**12
+    for n in (0, 16**15 + 1):
+        with pytest.raises(ValueError):
+            seeded_int(["id"], n, 1)
+
+
+def test_seeded_hash_tells_parts_apart(spark):
+    df = spark.sql("select * from values (1, null), (null, 1), (null, null) t(a, b)")
+    texts = spark.sql("select * from values ('a:b', 'c'), ('a', 'b:c') t(a, b)")
+    for rows_ in (df, texts):
+        hashes = [r[0] for r in rows_.select(seeded_hash(["a", "b"], 1)).collect()]
+        assert len(set(hashes)) == len(hashes)
+
+
 def test_seeded_hash_of_null(spark):
     df = spark.sql("select cast(null as string) k")
     assert len(df.select(seeded_hash(["k"], 1)).first()[0]) == 32

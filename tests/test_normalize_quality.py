@@ -82,6 +82,13 @@ def test_insert_if_absent(spark):
     assert rows(insert_if_absent(once, incoming, ["name", "state"])) == rows(once)
 
 
+def test_insert_if_absent_takes_one_row_per_key(spark):
+    existing = spark.createDataFrame([(1, "a", "x")], "id bigint, k string, v string")
+    values = [("b", "p"), ("b", None), ("b", "q"), ("a", "y"), (None, "z")]
+    incoming = spark.createDataFrame(values, "k string, v string")
+    assert rows(insert_if_absent(existing, incoming, ["k"])) == [(1, "a", "x"), (2, "b", "p")]
+
+
 def test_keyed_members_of_hot_value(spark):
     df = spark.createDataFrame([("a",)] * 20 + [("b",)], "n string")
     assert rows(keyed_members(df, ["n"])) == [(1, "a"), (2, "b")]

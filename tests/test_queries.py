@@ -5,6 +5,8 @@ import pytest
 from check import TABLES, canonical
 
 from __spark_entry__ import SMOKE_DIR, entry, oracle_sql, queries
+from starload.plans.queries import QUERIES
+from starload.plans.twins import TWINS
 
 KINDS = {
     "bigint": "BIGINT",
@@ -26,7 +28,8 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(TWINS)
+    assert set(QUERIES) <= set(queries()) and set(TWINS) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -34,7 +37,7 @@ def test_entry(spark):
     assert fact.columns[0] == "disaster_fact_tk" and not fact.isEmpty()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = queries()[name](spark, SMOKE_DIR)
     cursor = con.execute(oracle_sql()[name])

@@ -12,11 +12,12 @@ from starload.sources import (
     read_jdbc,
     read_jdbc_query,
     readback_count,
+    split_rejects,
     write_csv,
     write_jdbc,
 )
 from starload.sources.jdbc import Partitioning
-from starload.tables import materialize, shared_folder, side_by_side
+from starload.tables import materialize, run_folder, shared_folder, side_by_side
 
 
 def test_csv_keeps_codes_quotes_and_nulls(spark, tmp_path):
@@ -30,6 +31,35 @@ def test_csv_keeps_codes_quotes_and_nulls(spark, tmp_path):
     assert rows(trimmed, "fips")[1] == ("7",)
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("b,more,a\nb1,m,a1\n")
+    df = read_csv(spark, str(tmp_path / "in.csv"), "a string, b string")
+    assert df.columns == ["a", "b"] and rows(df) == [("a1", "b1")]
+    with pytest.raises(ValueError, match="no column c"):
+        read_csv(spark, str(tmp_path / "in.csv"), "a string, c string")
+
+
+def test_csv_keeps_line_breaks_and_empty_text(spark, tmp_path):
+    values = [(1, "x\ny"), (2, ""), (3, None), (4, 'a "b" \\'), (5, "a\r\nb\rc"), (6, "\n"), (7, " ")]
+    df = spark.createDataFrame(values, "n int, t string")
+    write_csv(df, str(tmp_path / "c"), whole_text=True)
+    assert rows(read_csv(spark, str(tmp_path / "c"), "n int, t string", whole_text=True)) == values
+
+
+def test_csv_values_that_do_not_fit(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("n,t\n1,a\nxx,b\n3,c\n")
+    with pytest.raises(Exception, match="xx|FAILFAST|MALFORMED"):
+        read_csv(spark, str(tmp_path / "in.csv"), "n int, t string").collect()
+    good, rejects = split_rejects(
+        read_csv(spark, str(tmp_path / "in.csv"), "n int, t string", on_bad="keep")
+    )
+    assert rows(good) == [(1, "a"), (3, "c")] and rows(rejects) == [("xx,b",)]
+
+
+def test_intermediate_tables_lie_in_the_folder_of_the_run(spark):
+    assert all(run_folder(spark) in f for f in materialize(spark.range(3)).inputFiles())
+
+
 def test_csv_formats(spark, tmp_path):
     (tmp_path / "in.csv").write_text("d;n\n31.12.2020;'a;b'\n")
     df = read_csv(
@@ -180,7 +210,10 @@ def test_tables_of_a_database(monkeypatch):
 
     read = []
     monkeypatch.setattr(d, "read_jdbc", lambda spark, url, table, *more: read.append((table, *more)))
-    ranges = Partitioning("id", 1, 9, 3)
-    d.read_tables_jdbc(None, "jdbc:x", {"user": "u"}, ranges)
+    ranges, counties = Partitioning("id", 1, 9, 3), Partitioning("id", 1, 5, 2)
+    d.read_tables_jdbc(None, "jdbc:x", {"user": "u"}, ranges, counties)
     assert [r[0] for r in read] == ['"State"', '"County"', '"Disaster"', '"Declaration"']
-    assert read[3][2] is ranges
+    assert read[3][2] is ranges and read[1][2] is counties
+    with pytest.raises(ValueError, match="ranges"):
+        d.read_tables_jdbc(None, "jdbc:x", {"user": "u"}, ranges)
+    d.read_tables_jdbc(None, "jdbc:x", {"user": "u"}, single_task=True)

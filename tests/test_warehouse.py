@@ -151,6 +151,54 @@ def test_load_and_reload(spark, star, tmp_path):
     assert spark.read.parquet(str(tmp_path / "dw" / "disaster_fact")).count() == len(LINES) - 1
 
 
+def test_a_load_that_fails_leaves_the_earlier_star(spark, star, tmp_path):
+    folder = str(tmp_path / "dw")
+    d.load_star(star, folder)
+    broken = star.fact.withColumn("deaths", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        d.load_star(replace(star, state=star.state.limit(1), fact=broken), folder)
+    assert spark.read.parquet(f"{folder}/state_dim").count() == star.state.count()
+    assert spark.read.parquet(f"{folder}/disaster_fact").count() == star.fact.count()
+
+
+def test_a_batch_that_broke_off_is_finished(spark, star, tmp_path, monkeypatch):
+    from starload.sources import batches
+
+    folder = str(tmp_path / "t")
+    rows_ = spark.range(3)
+    rows_.write.parquet(f"{folder}/a")
+    rows_.write.parquet(f"{folder}/b")
+    real, calls = batches._rename, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise OSError("stop")
+        return real(*args)
+
+    monkeypatch.setattr(batches, "_rename", failing)
+    new = {"a": rows_.coalesce(1), "b": rows_.coalesce(1)}
+    with pytest.raises(OSError):
+        batches.append_batch(new, folder, "one")
+    monkeypatch.setattr(batches, "_rename", real)
+    for _ in range(2):
+        assert batches.resume_batch(spark, folder, ["a", "b"], "one")
+        assert [spark.read.parquet(f"{folder}/{n}").count() for n in "ab"] == [6, 6]
+    assert not batches.resume_batch(spark, folder, ["a", "b"], "two")
+
+
+def test_doubled_and_untidy_members_do_not_multiply_rows(star):
+    untidy = star.state.withColumns(
+        {"state_tk": F.col("state_tk") + 100, "state_name": F.lower("state_name")}
+    )
+    doubled = union_all([star.state, star.state, untidy])
+    lookups = d.fact_lookups(
+        doubled, star.county, star.disaster, star.declaration, star.dates, untidy=True
+    )
+    fact = d.disaster_fact(star.staging, lookups)
+    assert rows(fact, *d.FACT_KEYS, "deaths") == rows(star.fact, *d.FACT_KEYS, "deaths")
+
+
 def test_fact_as_bag_equals_fact_with_tie_break(star):
     lookups = d.fact_lookups(star.state, star.county, star.disaster, star.declaration, star.dates)
     tied = d.disaster_fact(star.staging, lookups, tie_break=ORDER)
@@ -199,7 +247,8 @@ def test_append_continues_keys(spark, star, tmp_path):
 
 
 def test_database_types(star):
-    assert d._column_types(star.declaration)["declaration_title"] == "VARCHAR(1000)"
+    assert d._column_types(star.declaration)["declaration_title"] == "TEXT"
+    assert d._column_types(star.declaration, 1000)["declaration_title"] == "VARCHAR(1000)"
     for table in d.star_tables(star).values():
         assert set(d._column_types(table)) == set(table.columns)
 
