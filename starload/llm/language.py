@@ -40,7 +40,7 @@ SLICE = 1 << 16
 #: Margins are means of log odds per n-gram; this brings them to the scale of the logistic loss.
 SCALE = 6.0
 #: A best score under this is ambiguous.
-AMBIGUOUS = 0.6
+AMBIGUOUS = 0.52
 UNKNOWN = "und"
 _BLANKED = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 

@@ -40,9 +40,9 @@ from starload.llm.text import documents, fold, labels, whole_text
 
 SAMPLE_ROWS = 20_000
 MAX_TERMS = 4000
-#: A term is learned if it occurs in this many toxic texts and if its log odds, less this many
-#: standard errors, are above the floor.
-MIN_TOXIC, ERRORS, FLOOR = 4, 2.0, 1.0
+#: A term is learned if it occurs in this many toxic texts, this many standard deviations more
+#: often than by chance, and if its log odds, less some standard errors, are above the floor.
+MIN_TOXIC, DEVIATIONS, ERRORS, FLOOR = 4, 5.0, 2.0, 1.0
 STEMS = (4, 5, 6)
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
@@ -217,6 +217,21 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         del used[lowest]
 
 
+def _without_short_copies(terms: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """The weights, without the shortest beginnings that stand for one word alone: those would
+    match words of other languages."""
+    top = {f"{w[: min(STEMS)]}~": 0.0 for w in terms}
+    for word, (toxic, _) in terms.items():
+        if not word.endswith("~"):
+            stem = f"{word[: min(STEMS)]}~"
+            top[stem] = max(top[stem], toxic)
+    return {
+        term: float(weight)
+        for term, (toxic, weight) in terms.items()
+        if len(term) != min(STEMS) + 1 or term not in top or top[term] < 0.6 * toxic
+    }
+
+
 def train(
     df: DataFrame,
     label: DataFrame,
@@ -260,11 +275,13 @@ def train(
     yes, no = F.col("t") + 0.5, F.col("n") - F.col("t") + 0.5
     odds = F.log(yes / (toxic + 1 - yes + 0.5)) - F.log(no / (fine + 1 - no + 0.5))
     error = F.sqrt(1 / yes + 1 / no)
-    sure = counts.where(F.col("t") >= MIN_TOXIC).select(
-        "term", (odds - ERRORS * error).alias("sure")
+    chance = F.col("n") * toxic / (toxic + fine)
+    often = (F.col("t") - chance) / F.sqrt(chance) >= DEVIATIONS
+    sure = counts.where((F.col("t") >= MIN_TOXIC) & often).select(
+        "term", "t", (odds - ERRORS * error).alias("sure")
     )
     best = sure.where(F.col("sure") > FLOOR).orderBy(F.desc("sure"), "term").limit(max_terms)
-    model = Model({r["term"]: float(r["sure"]) for r in best.collect()})
+    model = Model(_without_short_copies({r["term"]: (r["t"], r["sure"]) for r in best.collect()}))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, machine = model.prepare()
