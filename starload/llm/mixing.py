@@ -262,14 +262,17 @@ with sized as (
 ), sorted as (
     select *,
            (wanted - coalesce(sum(2 * source_size) over before, 0))
-               / sum(weight) over after as level
+               / sum(weight) over after as level,
+           row_number() over (order by 2.0 * source_size / weight, number) as place
     from weighed
     window before as (order by 2.0 * source_size / weight, number
                       rows between unbounded preceding and 1 preceding),
            after as (order by 2.0 * source_size / weight, number
                      rows between current row and unbounded following)
 ), chosen as (
-    select coalesce(min(level) filter (where level * weight <= 2 * source_size), 1e300) as level
+    -- The first source that is not stopped at the level it would have with all before it stopped.
+    select coalesce(arg_min(level, place) filter (where level * weight <= 2 * source_size), 1e300)
+               as level
     from sorted
 ), targets as (
     select source, source_size, least(2.0 * source_size, chosen.level * weight) as target
@@ -281,13 +284,13 @@ with sized as (
 ), ranked as (
     select *, floor(copies) as sure, copies - floor(copies) as p,
            (chance * (1 - (copies - floor(copies))))
-               / nullif((1 - chance) * (copies - floor(copies)), 0) as place
+               / nullif((1 - chance) * (copies - floor(copies)), 0) as pareto
     from expected
 ), running as (
     select *,
            sum(sure * size) over (partition by source) as certain,
            coalesce(sum(case when p > 0 then size else 0 end) over (
-               partition by source order by place nulls last, doc_id, size
+               partition by source order by pareto nulls last, doc_id, size
                rows between unbounded preceding and 1 preceding), 0) as before
     from ranked
 )

@@ -48,7 +48,7 @@ END = 2
 #: The ranks of byte_bpe_50k.json: the same ids, of which a word not seen before costs a third.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Words whose ids one task remembers.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 200_000
 
 
 def load_encoder(vocabulary: str):
