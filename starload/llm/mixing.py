@@ -5,12 +5,14 @@ it cannot take is shared again by weight. Within a source a document's expected
 weight (all alike by default), also stopped at ``max_copies``. The whole part of the expectation is
 taken for certain. For the rest, documents are ranked by Pareto order sampling,
 ``U / (1 - U)`` divided by ``p / (1 - p)``, where ``U`` is a hash of the id and ``p`` the fraction
-left; the sample is the head of that order whose words come nearest to what the source still
-lacks, so its size is fixed by the target.
+left; the sample is the head of that order that still fits into the words the source lacks, so its
+size is fixed by the target. A long document that does not fit ends a head; the next of ``FILLS``
+rounds goes on behind it with the documents that fit into what is left.
 
 The order is one range sort; running word counts are offsets of the sorted partitions plus a
 window inside one partition and source, so a hot source is spread over all tasks. What a source
-decides is one row (level, last rank taken) that is joined to the documents.
+decides is one row (level, last place and longest document of each round) that is joined to the
+documents.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source and comes last;
 rows that repeat are counted and drawn singly, equal ids are ordered by size; a null id draws as
@@ -19,6 +21,8 @@ the empty text. An empty table gives an empty result. Other columns are kept by
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,6 +36,8 @@ TOTAL = 1.5
 MAX_COPIES = 2
 #: Sources whose decisions may be broadcast (a few dozen bytes each, names apart).
 BROADCAST_SOURCES = 20_000
+#: Rounds of filling up a source behind a document that does not fit.
+FILLS = 3
 _HEX_DIGITS = 13
 
 
@@ -124,7 +130,8 @@ def decisions(
     max_copies: int = MAX_COPIES,
 ) -> DataFrame:
     """One row per source of the written ``rows`` (id, source, size, weight, chance): ``source``,
-    ``source_size``, ``target``, ``level`` and the last place taken in the Pareto order."""
+    ``source_size``, ``target``, ``level`` and, for each round of filling, the words that were
+    lacking and the last place taken in the Pareto order."""
     sources = document_levels(rows, source_targets(rows, weights, total, max_copies), max_copies)
     certain, p = expected(max_copies)
     open_rows = _with_source(rows, sources.select("source", "target", "level"))
@@ -137,7 +144,34 @@ def decisions(
     ranked = materialize(
         ranked.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "ranked"
     ).withColumn("_part", F.shiftright("_place", 33))
-    sums = ranked.groupBy("source", "_part").agg(F.sum("size").alias("_words"))
+    lacking = _with_source(sources, materialize(sure, "sure")).select(
+        "source", (F.col("target") - F.col("sure")).alias("gap")
+    )
+    lacking = materialize(lacking.withColumn("last", F.lit(None).cast(_last_type(ranked))), "lacking")
+    fills = [lacking.limit(0).select("source", "gap", "last")]
+    for _ in range(FILLS):
+        filled = _fill(ranked, lacking)
+        fills.append(filled.select("source", "gap", "last"))
+        lacking = materialize(
+            filled.select("source", (F.col("gap") - F.col("words")).alias("gap"), "last"), "lacking"
+        )
+    heads = reduce(DataFrame.unionByName, fills).groupBy(F.col("source").alias("_source"))
+    heads = heads.agg(F.collect_list(F.struct("gap", "last")).alias("fills"))
+    both = sources.join(heads, F.col("source").eqNullSafe(F.col("_source")), "left")
+    return materialize(both.drop("_source"), "decisions")
+
+
+def _last_type(ranked: DataFrame) -> str:
+    types = dict(ranked.dtypes)
+    return f"struct<rank:double,id:{types['id']},size:bigint>"
+
+
+def _fill(ranked: DataFrame, lacking: DataFrame) -> DataFrame:
+    """source, gap, and the last place and words of the next head that fits into the gap."""
+    place = F.struct("rank", "id", "size")
+    behind = F.col("last").isNull() | (place > F.col("last"))
+    fitting = _with_source(ranked, lacking).where((F.col("size") <= F.col("gap")) & behind)
+    sums = fitting.groupBy("source", "_part").agg(F.sum("size").alias("_words"))
     ahead = Window.partitionBy("source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     sums = materialize(
         sums.select(
@@ -148,21 +182,13 @@ def decisions(
         "offsets",
     )
     inside = Window.partitionBy("source", "_part").orderBy("_place")
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    lacking = _with_source(sources, materialize(sure, "sure")).select(
-        "source", (F.col("target") - F.col("sure")).alias("lack")
-    )
-    running = ranked.join(
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = fitting.join(
         sums, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_part") == F.col("_p"))
-    ).withColumn("before", F.col("_ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    # Taking a document brings the words nearer to the target as long as half of it still fits.
-    taken = _with_source(running.drop("_source"), materialize(lacking, "lacking")).where(
-        2 * F.col("before") + F.col("size") <= 2 * F.col("lack")
-    )
-    last = taken.groupBy("source").agg(F.max(F.struct(*order[1:])).alias("last"))
-    last = last.select(F.col("source").alias("_source"), "last")
-    both = sources.join(last, F.col("source").eqNullSafe(F.col("_source")), "left")
-    return materialize(both.drop("_source"), "decisions")
+    ).withColumn("run", F.col("_ahead") + F.sum("size").over(inside))
+    taken = running.where(F.col("run") <= F.col("gap")).groupBy("source", "gap")
+    taken = taken.agg(F.max(place).alias("last"), F.sum("size").alias("words"))
+    return materialize(taken, "filled")
 
 
 def expected(max_copies: int) -> tuple[Column, Column]:
@@ -188,7 +214,8 @@ def _copies(rows: DataFrame, chosen: DataFrame, max_copies: int) -> DataFrame:
     certain, p = expected(max_copies)
     joined = _with_source(rows, chosen).withColumn("_p", p).withColumn("_certain", certain)
     place = F.struct(_rank(F.col("_p"), F.col("chance")).alias("rank"), "id", "size")
-    extra = (F.col("_p") > 0) & (F.col("size") > 0) & (place <= F.col("last"))
+    fits = F.exists("fills", lambda f: (F.col("size") <= f["gap"]) & (place <= f["last"]))
+    extra = (F.col("_p") > 0) & (F.col("size") > 0) & fits
     return joined.withColumn(
         "copies", (F.col("_certain") + F.coalesce(extra.cast("int"), F.lit(0))).cast("int")
     )
@@ -286,21 +313,36 @@ with sized as (
            (chance * (1 - (copies - floor(copies))))
                / nullif((1 - chance) * (copies - floor(copies)), 0) as pareto
     from expected
-), running as (
-    select *,
-           sum(sure * size) over (partition by source) as certain,
-           coalesce(sum(case when p > 0 then size else 0 end) over (
-               partition by source order by pareto nulls last, doc_id, size
-               rows between unbounded preceding and 1 preceding), 0) as before
+), fill_0 as (
+    select *, false as taken,
+           target - sum(sure * size) over (partition by source) as gap
     from ranked
-)
-select doc_id, size, source_size, target,
-       (sure + case when p > 0 and size > 0 and 2 * before + size <= 2 * (target - certain)
-                    then 1 else 0 end)::int as copies,
-       ((sure + case when p > 0 and size > 0 and 2 * before + size <= 2 * (target - certain)
-                     then 1 else 0 end) * size)::bigint as taken
-from running
+){FILL_ROUNDS}
+select doc_id, size, source_size, target, (sure + taken::int)::int as copies,
+       ((sure + taken::int) * size)::bigint as taken
+from fill_{FILLS}
 """
+OP2_SQL = OP2_SQL.replace("{FILLS}", str(FILLS)).replace(
+    "{FILL_ROUNDS}",
+    "".join(
+        f""", open_{k} as (
+    select *, not taken and p > 0 and size > 0 and size <= gap as fits from fill_{k - 1}
+), run_{k} as (
+    select *, sum(case when fits then size else 0 end) over (
+        partition by source order by pareto nulls last, doc_id, size
+        rows between unbounded preceding and current row) as run
+    from open_{k}
+), fill_{k} as (
+    select * exclude (fits, run) replace (
+        taken or (fits and run <= gap) as taken,
+        gap - coalesce(sum(case when fits and run <= gap then size end)
+                       over (partition by source), 0) as gap
+    )
+    from run_{k}
+)"""
+        for k in range(1, FILLS + 1)
+    ),
+)
 
 QUERIES = {"op2_source_mixing": op2_source_mixing}
 TWINS = {"op2_source_mixing": OP2_SQL}
