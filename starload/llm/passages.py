@@ -45,6 +45,8 @@ WORDS = 50
 SIMILARITY = 0.8
 FUNCTIONS = 5
 ENOUGH = 2
+#: A hash with more pairs of windows than this in two texts counts as one collision.
+MANY = 16
 #: Equal shingles further apart than this (in shingles, on either side) begin a new chain; one
 #: changed word parts them by five.
 GAP = 16
@@ -104,40 +106,80 @@ def window_keys(marks: np.ndarray, width: int) -> np.ndarray:
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 
-def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """(l, c, r) of every node of the Cartesian tree that rules at least ``width`` places; of
-    equal values the first rules."""
+def ruling_places(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, keys) of the nodes of the Cartesian tree that rule at least ``width`` places.
+
+    These are the places that are smallest in some window of that width. ``values`` are 64-bit
+    hashes, of which the lowest bits (as many as number the places) give way to a scrambled place:
+    that settles equal values, and keeps the places few where one value fills the text.
+    """
     if len(values) < width:
-        return []
-    # The ancestors of a node that rules enough do so too: extents need no other places.
-    order = np.argsort(values, kind="stable")
-    ranks = np.empty(len(values), np.int64)
-    ranks[order] = np.arange(len(values))
-    places = np.unique(order[sliding_minimum(ranks, width)]).tolist()
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    bits = np.uint64(len(values).bit_length())
+    low, factor = (np.uint64(1) << bits) - np.uint64(1), 0x9E3779B97F4A7C15
+    back = np.uint64(pow(factor, -1, 1 << int(bits)))
+    scrambled = np.arange(len(values), dtype=np.uint64) * np.uint64(factor) & low
+    keys = (values >> bits << bits) | scrambled
+    places = np.sort(np.unique(sliding_minimum(keys, width)) * back & low).astype(np.int64)
+    return places, keys[places]
+
+
+def compact_windows(values: np.ndarray, width: int) -> list[tuple[int, int, int]]:
+    """(l, c, r) of every node of the Cartesian tree that rules at least ``width`` places."""
+    places, keys = ruling_places(values, width)
+    return _extents(places.tolist(), keys.tolist(), len(values))
+
+
+def _extents(places: list[int], keys: list[int], size: int) -> list[tuple[int, int, int]]:
+    """What each place rules. The ancestors of a node that rules enough do so too, so the nearest
+    smaller places on either side are among ``places``."""
     lefts, stack = [], []
-    rights = [len(values) - 1] * len(places)
-    for i, c in enumerate(places):
-        while stack and ranks[places[stack[-1]]] > ranks[c]:
-            rights[stack.pop()] = c - 1
+    rights = [size - 1] * len(places)
+    for i, key in enumerate(keys):
+        while stack and keys[stack[-1]] > key:
+            rights[stack.pop()] = places[i] - 1
         lefts.append(places[stack[-1]] + 1 if stack else 0)
         stack.append(i)
     return list(zip(lefts, places, rights))
 
 
 Area = tuple[int, int, int, int]
+Windows = list[dict[int, list[tuple[int, int]]]]
 
 
-def areas(a: np.ndarray, b: np.ndarray, width: int, enough: int = ENOUGH) -> list[Area]:
-    """Where collisions of compact windows overlap in both texts: (from, to) in a, then in b."""
-    meets = []
+def windows_of(marks: np.ndarray, width: int, among: Windows | None = None) -> Windows:
+    """Per function, where the windows of each smallest hash lie; ``among``: of the hashes that
+    another text has too."""
+    found: Windows = []
     for j in range(FUNCTIONS):
-        left, right = hashed(a, j), hashed(b, j)
-        there: dict[int, list[tuple[int, int]]] = {}
-        for low, c, high in compact_windows(right, width):
-            there.setdefault(int(right[c]), []).append((low, high))
-        for low, c, high in compact_windows(left, width):
-            for low_b, high_b in there.get(int(left[c]), ()):
-                meets.append((low, high, low_b, high_b, j))
+        values = hashed(marks, j)
+        places, keys = ruling_places(values, width)
+        heads = values[places].tolist()
+        own: dict[int, list[tuple[int, int]]] = {}
+        wanted = None if among is None else among[j].keys() & set(heads)
+        if wanted is None or wanted:
+            spans = _extents(places.tolist(), keys.tolist(), len(values))
+            for head, (low, _, high) in zip(heads, spans):
+                if wanted is None or head in wanted:
+                    own.setdefault(head, []).append((low, high))
+        found.append(own)
+    return found
+
+
+def areas(left: Windows, right: Windows, enough: int = ENOUGH) -> list[Area]:
+    """Where collisions of compact windows overlap in both texts: (from, to) in each.
+
+    A hash that has many windows on both sides (a line repeated inside the texts) collides once,
+    with the span of all its windows: a wider area, but no pairs of its windows.
+    """
+    meets = []
+    for j, (own, other) in enumerate(zip(left, right)):
+        for value in own.keys() & other.keys():
+            here, there = own[value], other[value]
+            if len(here) * len(there) > MANY:
+                here = [(min(x[0] for x in here), max(x[1] for x in here))]
+                there = [(min(x[0] for x in there), max(x[1] for x in there))]
+            meets += [(*x, *y, j) for x in here for y in there]
     meets.sort()
     open_areas: list[list] = []
     for low, high, low_b, high_b, j in meets:
@@ -155,34 +197,49 @@ def areas(a: np.ndarray, b: np.ndarray, width: int, enough: int = ENOUGH) -> lis
     return [tuple(x[:4]) for x in open_areas if len(x[4]) >= enough]
 
 
-def _chains(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Equal shingles of a and b in text order, parted at gaps; each a place is used once."""
-    order = np.argsort(b, kind="stable")
-    at = np.searchsorted(b[order], a)
-    at_most = np.minimum(at, len(b) - 1)
-    places = np.flatnonzero(b[order[at_most]] == a) if len(b) else np.empty(0, np.int64)
-    if not len(places):
-        return
-    # A shingle may stand at several places of b: follow the last match if one continues it.
+Chain = tuple[np.ndarray, np.ndarray]
+
+
+def _chains(a: np.ndarray, b: np.ndarray) -> list[Chain]:
+    """Equal shingles of a and b in text order, parted at gaps."""
+    common, rows, partners = np.intersect1d(a, b, return_indices=True)
+    if not len(common):
+        return []
+    if np.isin(a, common).sum() == len(common) == np.isin(b, common).sum():
+        # Each stands once on either side: the chains are the runs of steps that are short enough.
+        order = np.argsort(rows)
+        rows, partners = rows[order], partners[order]
+        ahead, over = np.diff(rows), np.diff(partners)
+        parted = (ahead > GAP) | (over <= 0) | (over > GAP)
+        if not (parted & (ahead < SHINGLE)).any():
+            cuts = np.flatnonzero(parted) + 1
+            return list(zip(np.split(rows, cuts), np.split(partners, cuts)))
+    return list(_chains_of_repeats(a, b, common))
+
+
+def _chains_of_repeats(a: np.ndarray, b: np.ndarray, common: np.ndarray) -> Iterator[Chain]:
+    """The same where shingles stand at several places: a chain goes on with the partner nearest to
+    its diagonal, and a stray match inside a chain does not end it."""
     following: dict[int, list[int]] = {}
-    for place, value in enumerate(b.tolist()):
-        following.setdefault(value, []).append(place)
+    for place in np.flatnonzero(np.isin(b, common)).tolist():
+        following.setdefault(int(b[place]), []).append(place)
     rows, partners = [], []
-    for i in places.tolist():
+    for i in np.flatnonzero(np.isin(a, common)).tolist():
         options = following[int(a[i])]
         if rows and i - rows[-1] <= GAP:
-            near = [p for p in options if 0 < p - partners[-1] <= GAP] if len(options) < 50 else (
-                [p for p in range(partners[-1] + 1, min(partners[-1] + GAP + 1, len(b))) if b[p] == a[i]]
-            )
+            if len(options) < 50:
+                near = [p for p in options if 0 < p - partners[-1] <= GAP]
+            else:
+                near = range(partners[-1] + 1, min(partners[-1] + GAP + 1, len(b)))
+                near = [p for p in near if b[p] == a[i]]
             if near:
                 expected = partners[-1] + i - rows[-1]
                 rows.append(i)
                 partners.append(min(near, key=lambda p: abs(p - expected)))
                 continue
             if len(rows) > 1 and i - rows[-1] < SHINGLE:
-                continue  # a stray match inside a chain does not end it
-            yield np.array(rows), np.array(partners)
-        elif rows:
+                continue
+        if rows:
             yield np.array(rows), np.array(partners)
         rows, partners = [i], [options[0]]
     if rows:
@@ -190,7 +247,8 @@ def _chains(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarr
 
 
 def _accepted(a, b, rows, partners, width, similarity) -> Iterator[tuple[int, int, int, int, float]]:
-    """The chain if it is similar enough, else its parts on either side of the widest gap."""
+    """The chain if it is similar enough, else its parts between the widest gaps (all of that
+    width at once, so there are as many rounds as widths)."""
     todo = [(rows, partners)]
     while todo:
         rows, partners = todo.pop()
@@ -203,19 +261,25 @@ def _accepted(a, b, rows, partners, width, similarity) -> Iterator[tuple[int, in
             yield int(begin), int(end), int(begin_b), int(end_b), share
         elif len(rows) > 2:
             steps = np.diff(rows) + np.diff(partners)
-            cut = int(np.argmax(steps)) + 1
-            if steps[cut - 1] == 2:
-                continue
-            todo += [(rows[:cut], partners[:cut]), (rows[cut:], partners[cut:])]
+            if steps.max() > 2:
+                cuts = np.flatnonzero(steps == steps.max()) + 1
+                todo += zip(np.split(rows, cuts), np.split(partners, cuts))
 
 
 def shared_passages(
-    a: np.ndarray, b: np.ndarray, words: int = WORDS, similarity: float = SIMILARITY
+    a: np.ndarray,
+    b: np.ndarray,
+    words: int = WORDS,
+    similarity: float = SIMILARITY,
+    b_windows: Windows | None = None,
 ) -> list[tuple[int, int, int, int, float]]:
     """(start, end) in words of a, then of b, and the similarity, of every common passage."""
     width = words - SHINGLE + 1
+    if len(a) >= width and np.array_equal(a, b):
+        return [(0, len(a) + SHINGLE - 1, 0, len(b) + SHINGLE - 1, 1.0)]
     found = set()
-    for low, high, low_b, high_b in areas(a, b, width):
+    b_windows = windows_of(b, width) if b_windows is None else b_windows
+    for low, high, low_b, high_b in areas(windows_of(a, width, b_windows), b_windows):
         part, part_b = a[low : high + 1], b[low_b : high_b + 1]
         for rows, partners in _chains(part, part_b):
             for s, e, s_b, e_b, share in _accepted(part, part_b, rows, partners, width, similarity):
@@ -250,7 +314,7 @@ def repeated_passages(
                     names=["key", "id"],
                 )
 
-    windows = texts.mapInArrow(emit, "key long, id long")
+    windows = materialize(texts.mapInArrow(emit, "key long, id long"), "windows")
     first = windows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     first = materialize(first.where("first < last").select("key", "first"), "repeated")
     pairs = (
@@ -274,15 +338,18 @@ def repeated_passages(
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, other = WordHashes(), None, None
+        known, last, other, there = WordHashes(), None, None, None
         for batch in batches:
             rows = []
             for doc, partner, own, text in zip(*(batch.column(i) for i in range(4))):
                 text = text.as_py()
                 if text != last:
                     last, other = text, shingles(text, known)
+                    there = windows_of(other, width)
                 mine = shingles(own.as_py(), known)
-                for s, e, s_b, e_b, share in shared_passages(mine, other, words, similarity):
+                for s, e, s_b, e_b, share in shared_passages(
+                    mine, other, words, similarity, there
+                ):
                     rows.append((doc.as_py(), s, e, partner.as_py(), s_b, e_b, share))
             columns = list(zip(*rows)) or [()] * 7
             types = [pa.int64()] * 6 + [pa.float64()]
