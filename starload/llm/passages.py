@@ -9,13 +9,21 @@ the places that are smallest in some window of that width.
 1. Every document emits the hashes of its windows under ``FUNCTIONS`` functions.
 2. A hash met in several documents links each of them to the first (smallest id): the smallest and
    largest id per hash are aggregated (map-side combined), and the hashes are joined with them. No
-   pairs within a group are made: a passage shared by m documents gives m - 1 links.
-3. Pairs that share hashes under ``ENOUGH`` functions get both texts. Interval join: collisions are
-   swept along the first text and kept together while their windows overlap in both texts; an area
-   with ``ENOUGH`` functions is a candidate.
+   pairs within a group are made: a passage shared by m documents gives m - 1 links. A pair counts
+   if hashes under ``ENOUGH`` functions agree on the first, and so does each pair of repeated
+   hashes near each other in one text, which is linked like a single hash; two documents with a
+   common passage have it in common whatever the first documents of its single hashes are.
+3. Such pairs get both texts. Interval join: collisions are swept along the first text and kept
+   together while their windows overlap in both texts; an area with ``ENOUGH`` functions is a
+   candidate.
 4. Verification on whole texts: inside an area, equal shingles are chained in text order, and a
    chain of at least ``words`` words on both sides whose sets of shingles have a Jaccard similarity
    of ``similarity`` is a passage.
+5. Where a document meets its first but no passage covers the window, it stays open: it emits pairs
+   of hashes of that window again, of the shingles that the first does not have, and is linked anew
+   among the documents that failed with the same first (steps 2 to 4). What two of them have in
+   common besides the first's part links them there. Each round takes the first documents out of
+   their groups, and the rounds end when no group of open documents is left.
 
 The result has one row per passage of a document and its partner: exact copies are the case of
 similarity 1 and the whole text. Documents without a repeated passage have no row.
@@ -29,13 +37,21 @@ empty result. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DoubleType,
+    LongType,
+    StructField,
+    StructType,
+)
 
 from starload.llm.text import documents
 from starload.tables import materialize
@@ -106,6 +122,71 @@ def window_keys(marks: np.ndarray, width: int) -> np.ndarray:
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 
+def _joined(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return _mixed(one * np.uint64(0x9E3779B97F4A7C15) + other)
+
+
+def placed_keys(marks: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places): the ``window_keys`` and where they stand."""
+    keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for j in range(FUNCTIONS):
+        values = hashed(marks, j)
+        at, _ = ruling_places(values, width)
+        keys.append((values[at] & ~np.uint64(7)) | np.uint64(j))
+        places.append(at)
+    return np.concatenate(keys).view(np.int64), np.concatenate(places)
+
+
+def near_keys(ids: np.ndarray, places: np.ndarray, keys: np.ndarray, width: int):
+    """(ids, keys) of all pairs of keys of two functions that one window may have; the rows are
+    sorted by id and place."""
+    owners, pairs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    unsigned = keys.view(np.uint64)
+    for step in range(1, len(ids)):
+        near = (ids[step:] == ids[:-step]) & (places[step:] - places[:-step] < width)
+        if not near.any():
+            break
+        two = np.flatnonzero(near & ((keys[step:] ^ keys[:-step]) & 7 != 0))
+        one, other = unsigned[two], unsigned[two + step]
+        first = (one & np.uint64(7)) < (other & np.uint64(7))
+        owners.append(ids[two])
+        pairs.append(_joined(np.where(first, one, other), np.where(first, other, one)).view(np.int64))
+    return np.concatenate(owners), np.concatenate(pairs)
+
+
+def open_keys(
+    marks: np.ndarray, other: np.ndarray, had: np.ndarray, found: list[tuple], width: int, path: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, which shingles are had): pairs of hashes of the windows that meet ``other`` outside
+    the passages ``found``, by preference of shingles that no first document had."""
+    shared = np.isin(marks, other)
+    now = had | shared
+    if len(marks) < width or not shared.any():
+        return np.empty(0, np.int64), now
+
+    def some(places: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(places)])
+        return total[width:] > total[:-width]
+
+    again = some(shared & ~had) | (some(shared) & ~some(~now))
+    for start, end, *_ in found:
+        again[start : max(start, end - (SHINGLE - 1) - width + 1)] = False
+    if not again.any():
+        return np.empty(0, np.int64), now
+    last, low = now.astype(np.uint64) << np.uint64(63), np.uint64(2**63 - 1)
+    heads = [
+        (sliding_minimum((hashed(marks, j) >> np.uint64(1)) | last, width)[again] & low)
+        for j in range(FUNCTIONS)
+    ]
+    seed = np.uint64(path % 2**64)
+    keys = [
+        np.unique(_joined(_joined(heads[i], heads[j]), np.uint64(FUNCTIONS * i + j) ^ seed))
+        for i in range(FUNCTIONS)
+        for j in range(i + 1, FUNCTIONS)
+    ]
+    return np.unique(np.concatenate(keys)).view(np.int64), now
+
+
 def ruling_places(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(places, keys) of the nodes of the Cartesian tree that rule at least ``width`` places.
 
@@ -300,64 +381,137 @@ def repeated_passages(
     texts = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     )
+    pairs = _first_pairs(texts, width)
+    passages, rows = [], None
+    while rows is None or not pairs.isEmpty():
+        rows = materialize(_verified(pairs, texts, words, similarity), "passages")
+        passages.append(rows.where("start is not null").select(*_RESULT.names))
+        pairs = _open_pairs(rows.where("start is null"))
+    return reduce(DataFrame.unionByName, passages).distinct()
+
+
+_RESULT = StructType(
+    [
+        StructField(n, LongType())
+        for n in ("doc_id", "start", "end", "other_id", "other_start", "other_end")
+    ]
+    + [StructField("similarity", DoubleType())]
+)
+#: A passage, or what is open: which of its texts, the firsts it has met, their shingles, its keys.
+_VERIFIED = StructType(
+    _RESULT.fields
+    + [
+        StructField("row", LongType()),
+        StructField("path", LongType()),
+        StructField("had", BinaryType()),
+        StructField("keys", ArrayType(LongType())),
+    ]
+)
+
+
+def _repeated(keys: DataFrame) -> DataFrame:
+    """(key, first) of the keys of several documents."""
+    first = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    return materialize(first.where("first < last").select("key", "first"), "repeated")
+
+
+def _first_pairs(texts: DataFrame, width: int) -> DataFrame:
+    """(id, row, path, had, first): all texts of an id, no first met before."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for batch in batches:
-            keys = [window_keys(shingles(t.as_py(), known), width) for t in batch.column(1)]
-            counts = [len(k) for k in keys]
-            ids = np.repeat(batch.column(0).to_numpy(), counts)
-            flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
-            for at in range(0, len(flat), 1 << 18):
+            placed = [placed_keys(shingles(t.as_py(), known), width) for t in batch.column(1)]
+            if not placed:
+                continue
+            ids = np.repeat(batch.column(0).to_numpy(), [len(k) for k, _ in placed])
+            keys, places = (np.concatenate(x) for x in zip(*placed))
+            for at in range(0, len(keys), 1 << 18):
+                part = slice(at, at + (1 << 18))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(flat[at : at + (1 << 18)]), pa.array(ids[at : at + (1 << 18)])],
-                    names=["key", "id"],
+                    [pa.array(keys[part]), pa.array(ids[part]), pa.array(places[part], pa.int32())],
+                    names=["key", "id", "at"],
                 )
 
-    windows = materialize(texts.mapInArrow(emit, "key long, id long"), "windows")
-    first = windows.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = materialize(first.where("first < last").select("key", "first"), "repeated")
-    pairs = (
-        windows.join(first, "key")
-        .where("id <> first")
+    def join_near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = np.empty((3, 0), np.int64)
+        for batch in batches:
+            rows = np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])
+            rows = np.concatenate([before, rows], axis=1)
+            if not rows.shape[1]:
+                continue
+            new = np.r_[True, (rows[:, 1:] != rows[:, :-1]).any(0)]
+            rows = np.ascontiguousarray(rows[:, new])
+            ids, keys = near_keys(*rows, width)
+            before = rows[:, (rows[0] == rows[0, -1]) & (rows[1] > rows[1, -1] - width)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
+
+    windows = materialize(texts.mapInArrow(emit, "key long, id long, at int"), "windows")
+    met = materialize(windows.join(_repeated(windows), "key"), "met")
+    several = (
+        met.where("id <> first")
         .groupBy("id", "first")
         .agg(*[F.max((F.col("key").bitwiseAND(F.lit(7)) == j).cast("int")).alias(f"f{j}") for j in range(FUNCTIONS)])
         .where(sum(F.col(f"f{j}") for j in range(FUNCTIONS)) >= ENOUGH)
         .select("id", "first")
     )
-    pairs = materialize(pairs, "pairs")
+    near = met.select("id", "at", "key").repartition("id").sortWithinPartitions("id", "at", "key")
+    near = materialize(near.mapInArrow(join_near, "key long, id long"), "near")
+    linked = near.join(_repeated(near), "key").where("id <> first").select("id", "first")
+    none = [F.lit(None).cast(t).alias(n) for n, t in (("row", "long"), ("had", "binary"))]
+    pairs = several.unionByName(linked).distinct().select("id", "first", F.lit(0).cast("long").alias("path"), *none)
+    return materialize(pairs, "pairs")
+
+
+def _open_pairs(rows: DataFrame) -> DataFrame:
+    """The next links of what is open, among those that have met the same firsts."""
+    rows = rows.withColumnRenamed("doc_id", "id").select("id", "row", "path", "had", "keys")
+    keys = rows.select("id", "row", "path", F.explode("keys").alias("key"))
+    links = keys.join(_repeated(keys), "key").where("id <> first")
+    links = links.select("id", "row", "path", "first").distinct()
+    had = rows.select("id", "row", "path", "had").dropDuplicates(["id", "row", "path"])
+    return materialize(links.join(had, ["id", "row", "path"]), "pairs")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The passages of the pairs, and what stays open."""
+    width = words - SHINGLE + 1
     both = (
         pairs.join(texts, "id")
+        .where(F.col("row").isNull() | (F.col("row") == F.xxhash64("text")))
         .withColumnsRenamed({"id": "doc_id", "first": "id", "text": "own"})
         .join(texts, "id")
-        .select("doc_id", F.col("id").alias("other_id"), "own", F.col("text").alias("other"))
-    )
-    names = ["doc_id", "start", "end", "other_id", "other_start", "other_end"]
-    schema = StructType(
-        [StructField(n, LongType()) for n in names] + [StructField("similarity", DoubleType())]
-    )
+        .select("doc_id", F.col("id").alias("other_id"), "own", F.col("text").alias("other"),
+                F.xxhash64("own").alias("row"), F.xxhash64("path", "id", "text").alias("path"), "had")
+    )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, last, other, there = WordHashes(), None, None, None
         for batch in batches:
             rows = []
-            for doc, partner, own, text in zip(*(batch.column(i) for i in range(4))):
-                text = text.as_py()
+            for doc, partner, own, text, row, path, had in zip(*batch.columns):
+                text, doc, path = text.as_py(), doc.as_py(), path.as_py()
                 if text != last:
                     last, other = text, shingles(text, known)
                     there = windows_of(other, width)
                 mine = shingles(own.as_py(), known)
-                for s, e, s_b, e_b, share in shared_passages(
-                    mine, other, words, similarity, there
-                ):
-                    rows.append((doc.as_py(), s, e, partner.as_py(), s_b, e_b, share))
-            columns = list(zip(*rows)) or [()] * 7
-            types = [pa.int64()] * 6 + [pa.float64()]
+                found = shared_passages(mine, other, words, similarity, there)
+                for s, e, s_b, e_b, share in found:
+                    rows.append((doc, s, e, partner.as_py(), s_b, e_b, share, *[None] * 4))
+                before = np.frombuffer(had.as_py() or bytes(len(mine) // 8 + 1), np.uint8)
+                before = np.unpackbits(before, count=len(mine)).astype(bool)
+                keys, now = open_keys(mine, other, before, found, width, path)
+                if len(keys):
+                    now = np.packbits(now).tobytes()
+                    rows.append((doc, *[None] * 6, row.as_py(), path, now, keys))
+            columns = list(zip(*rows)) or [()] * 11
+            types = [*[pa.int64()] * 6, pa.float64(), pa.int64(), pa.int64(), pa.binary()]
+            types.append(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], names=schema.names
+                [pa.array(c, t) for c, t in zip(columns, types)], names=_VERIFIED.names
             )
 
-    return both.mapInArrow(verify, schema).distinct()
+    return both.mapInArrow(verify, _VERIFIED)
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,3 +126,33 @@ def test_copies_and_edges(spark):
     assert got == {(101, 100, 0, 200, 1.0), (102, 100, 0, 200, 1.0)}
     assert len(rows) == len(set(rows))
     assert repeated_passages(df.limit(0)).count() == 0
+
+
+def test_a_first_document_with_a_part_does_not_end_the_group(spark):
+    rng = random.Random(11)
+    texts = []
+    for k in range(12):  # three documents each; the first has 45 words, or every 20th changed
+        passage = prose(rng, 60)
+        part = list(passage[:45])
+        if k % 2:
+            part = list(passage)
+            for i in range(8, 60, 20):
+                part[i] = f"changed{k}_{i}"
+        for middle in (part, passage, passage):
+            texts.append(prose(rng, 80) + middle + prose(rng, 80))
+    rows = repeated_passages(docs(spark, [" ".join(t) for t in texts])).collect()
+    found = {(r["doc_id"], r["other_id"]) for r in rows}
+    assert found == {(3 * k + 2, 3 * k + 1) for k in range(12)}
+
+
+def test_a_passage_of_frequent_lines(spark):
+    rng = random.Random(12)
+    texts = []
+    for _ in range(60):  # every line of the passage has another first document
+        lines = [prose(rng, 12) for _ in range(5)]
+        texts += [prose(rng, 60) + line + prose(rng, 60) for line in lines]
+        passage = [w for line in lines for w in line]
+        texts += [prose(rng, 60) + passage + prose(rng, 60) for _ in range(2)]
+    rows = repeated_passages(docs(spark, [" ".join(t) for t in texts])).collect()
+    found = {(r["doc_id"], r["other_id"]) for r in rows}
+    assert found == {(7 * k + 6, 7 * k + 5) for k in range(60)}
