@@ -18,12 +18,15 @@ equals best-fit decreasing over the single pieces.
 
 Defined cases: a null text counts as empty and gives the end token alone; a null id, repeated ids
 and repeated rows are packed like any row; an empty table gives an empty result; other columns of
-the input are not read.
+the input are not read. The characters of a special token ("<|endoftext|>") in a text are encoded
+like any others, as the tokenizer file does with ``encode_special_tokens``, so that no text can
+write a control token.
 """
 
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -76,11 +79,16 @@ def load_encoder(vocabulary: str):
     ).encode_ordinary
 
 
+#: A space with whitespace beside it, and a space with none.
+_BESIDE, _BETWEEN = re.compile(r" \s|\s "), re.compile(r"(?<!\s) (?!\s)")
+
+
 class WordIds(dict):
     """Ids of a space and a word, as little-endian 32-bit numbers, computed once per word.
 
-    The vocabulary's pattern always begins a new token at a single space between two other
-    characters, so a text may be encoded word by word if it is only cut at such spaces.
+    The vocabulary's pattern always begins a new token at a single space between two characters
+    that are no whitespace of Unicode, so a text may be encoded word by word if it is only cut at
+    such spaces. Merges do go across a space beside other whitespace (a no-break space).
     """
 
     def __init__(self, encode, limit: int = KNOWN_WORDS):
@@ -96,10 +104,8 @@ class WordIds(dict):
         return ids
 
     def text(self, text: str) -> bytes:
-        if "  " in text:
-            import re
-
-            first, *words = re.split(r"(?<! ) (?! )", text)
+        if _BESIDE.search(text):
+            first, *words = _BETWEEN.split(text)
         else:
             first, *words = text.split(" ")
         head = np.array(self.encode(first), "<u4").tobytes() if first else b""

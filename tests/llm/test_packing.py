@@ -102,3 +102,20 @@ def test_pack(spark, encode):
 
 def test_empty_table(spark):
     assert pack(docs(spark, EDGES).limit(0)).count() == 0
+
+
+def test_no_cut_beside_other_whitespace():
+    """Against the tokenizer file at its defaults; a special token in a text stays plain."""
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+
+    def whole(text):
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    rng = random.Random(7)
+    mixed = ["".join(rng.choice("ab, \xa0\n\u2003\u3000\x85\x1f") for _ in range(40)) for _ in range(500)]
+    known = WordIds(load_encoder("byte_bpe_50k.tiktoken"))
+    for text in ["a \xa0 \xa0 b", "a" + " \xa0" * 8 + " b", "a\xa0 \xa0 b", " \xa0 \xa0 "] + mixed:
+        assert np.frombuffer(known.text(text), "<u4").tolist() == whole(text), text
+    plain = np.frombuffer(known.text("a <|endoftext|> b"), "<u4").tolist()
+    assert 50256 in whole("a <|endoftext|> b") and 50256 not in plain
+    assert tokenizer.decode(plain) == "a <|endoftext|> b"
