@@ -16,9 +16,10 @@ the places that are smallest in some window of that width.
 3. Such pairs get both texts. Interval join: collisions are swept along the first text and kept
    together while their windows overlap in both texts; an area with ``ENOUGH`` functions is a
    candidate.
-4. Verification on whole texts: inside an area, equal shingles are chained in text order, and a
-   chain of at least ``words`` words on both sides whose sets of shingles have a Jaccard similarity
-   of ``similarity`` is a passage.
+4. Verification on whole texts: inside an area, runs of equal shingles are chained in text order,
+   and a part of a chain of at least ``words`` words on both sides whose sets of shingles have a
+   Jaccard similarity of ``similarity`` is a passage; of overlapping parts the one with most equal
+   shingles is taken. Only similarity ends a chain, no fixed gap.
 5. Where a document meets its first but no passage covers the window, it stays open: it emits pairs
    of hashes of that window again, of the shingles that the first does not have, and is linked anew
    among the documents that failed with the same first (steps 2 to 4). What two of them have in
@@ -63,9 +64,14 @@ FUNCTIONS = 5
 ENOUGH = 2
 #: A hash with more pairs of windows than this in two texts counts as one collision.
 MANY = 16
-#: Equal shingles further apart than this (in shingles, on either side) begin a new chain; one
-#: changed word parts them by five.
+#: In texts full of repeats (see ``REPEATS``), equal shingles further apart than this begin a new
+#: chain; one changed word parts them by five.
 GAP = 16
+#: Up to so many pairs of equal shingles for each shingle of the texts, all their runs are chained.
+REPEATS = 16
+#: What a chain loses for each shingle of a gap: less than any gap that a similar passage can have
+#: would cost it, enough to prefer the near run.
+GAP_COST = 0.25
 
 
 class WordHashes(dict):
@@ -286,21 +292,64 @@ def _chains(a: np.ndarray, b: np.ndarray) -> list[Chain]:
     common, rows, partners = np.intersect1d(a, b, return_indices=True)
     if not len(common):
         return []
-    if np.isin(a, common).sum() == len(common) == np.isin(b, common).sum():
-        # Each stands once on either side: the chains are the runs of steps that are short enough.
+    here, there = np.flatnonzero(np.isin(a, common)), np.flatnonzero(np.isin(b, common))
+    if len(here) == len(common) == len(there):
         order = np.argsort(rows)
         rows, partners = rows[order], partners[order]
-        ahead, over = np.diff(rows), np.diff(partners)
-        parted = (ahead > GAP) | (over <= 0) | (over > GAP)
-        if not (parted & (ahead < SHINGLE)).any():
-            cuts = np.flatnonzero(parted) + 1
-            return list(zip(np.split(rows, cuts), np.split(partners, cuts)))
-    return list(_chains_of_repeats(a, b, common))
+        if (np.diff(partners) > 0).all():
+            return [(rows, partners)]
+        return _chains_of_runs(rows, partners)
+    there = there[np.argsort(b[there], kind="stable")]
+    first = np.searchsorted(b[there], a[here], "left")
+    counts = np.searchsorted(b[there], a[here], "right") - first
+    if counts.sum() > REPEATS * (len(a) + len(b)):
+        return list(_chains_of_repeats(a, b, common))
+    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return _chains_of_runs(np.repeat(here, counts), there[np.repeat(first, counts) + inside])
+
+
+def _chains_of_runs(rows: np.ndarray, partners: np.ndarray) -> list[Chain]:
+    """Chains of the runs on all diagonals: each run goes on from the run that gives it most equal
+    shingles after the cost of the gap. A run may go on from one that another chain has too."""
+    order = np.lexsort((rows, partners - rows))
+    rows, partners = rows[order], partners[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(rows) != 1) | (np.diff(partners) != 1)])
+    lengths = np.diff(np.r_[starts, len(rows)])
+    order = np.lexsort((partners[starts], rows[starts] + lengths))
+    begin, begin_b, size = rows[starts][order], partners[starts][order], lengths[order]
+    end, end_b = begin + size, begin_b + size
+    score, before = size.astype(float), np.full(len(size), -1)
+    for t in range(1, len(size)):
+        skip = np.maximum(np.maximum(end[:t] - begin[t], end_b[:t] - begin_b[t]), 0)
+        gap = begin[t] + skip - end[:t] + begin_b[t] + skip - end_b[:t]
+        gain = np.where(skip < size[t], score[:t] - skip - GAP_COST * gap, -1.0)
+        best = int(gain.argmax())
+        if gain[best] > 0:
+            score[t], before[t] = size[t] + gain[best], best
+    chains, used = [], np.zeros(len(size), bool)
+    for t in np.argsort(-score, kind="stable").tolist():
+        path, new, own = [], 0, not used[t]
+        while own and t >= 0:
+            path.append(t)
+            new += 0 if used[t] else int(size[t])
+            t = int(before[t])
+        if new < SHINGLE:
+            continue
+        used[path] = True
+        parts, at, at_b = [], 0, 0
+        for t in reversed(path):
+            skip = max(at - begin[t], at_b - begin_b[t], 0)
+            run = np.arange(skip, size[t])
+            parts.append(np.stack([begin[t] + run, begin_b[t] + run]))
+            at, at_b = end[t], end_b[t]
+        chains.append(tuple(np.concatenate(parts, axis=1)))
+    return chains
 
 
 def _chains_of_repeats(a: np.ndarray, b: np.ndarray, common: np.ndarray) -> Iterator[Chain]:
-    """The same where shingles stand at several places: a chain goes on with the partner nearest to
-    its diagonal, and a stray match inside a chain does not end it."""
+    """The same where shingles stand at very many places: a chain begins with the partner whose run
+    is longest and goes on with the partner nearest to its diagonal, and a stray match inside a
+    chain does not end it."""
     following: dict[int, list[int]] = {}
     for place in np.flatnonzero(np.isin(b, common)).tolist():
         following.setdefault(int(b[place]), []).append(place)
@@ -322,14 +371,48 @@ def _chains_of_repeats(a: np.ndarray, b: np.ndarray, common: np.ndarray) -> Iter
                 continue
         if rows:
             yield np.array(rows), np.array(partners)
-        rows, partners = [i], [options[0]]
+        rows, partners = [i], [_longest(a, b, i, options)]
     if rows:
         yield np.array(rows), np.array(partners)
 
 
+def _longest(a: np.ndarray, b: np.ndarray, i: int, options: list[int]) -> int:
+    """The first of the ``options`` whose run is longest; a run of ``WORDS`` is long enough."""
+    left = np.array(options)
+    for step in range(1, min(WORDS, len(a) - i)):
+        on = left[left + step < len(b)]
+        on = on[b[on + step] == a[i + step]]
+        if not len(on):
+            break
+        left = on
+    return int(left[0])
+
+
+def _best_part(rows, partners, width, similarity) -> tuple[int, int] | None:
+    """The part of a chain, from run to run, that has most equal shingles of those that are long and
+    similar enough (as far as no shingle repeats)."""
+    cuts = np.flatnonzero((np.diff(rows) > 1) | (np.diff(partners) > 1)) + 1
+    begins, ends = np.r_[0, cuts], np.r_[cuts, len(rows)]
+    best, part = 0, None
+    for at, begin in enumerate(begins.tolist()):
+        if ends[-1] - begin <= best:
+            break
+        to = ends[at:]
+        matched = to - begin
+        span, span_b = rows[to - 1] + 1 - rows[begin], partners[to - 1] + 1 - partners[begin]
+        good = (np.minimum(span, span_b) >= width) & (
+            matched >= similarity * (span + span_b - matched) - 1e-9
+        )
+        last = np.flatnonzero(good)
+        if len(last) and matched[last[-1]] > best:
+            best, part = int(matched[last[-1]]), (begin, int(to[last[-1]]))
+    return part
+
+
 def _accepted(a, b, rows, partners, width, similarity) -> Iterator[tuple[int, int, int, int, float]]:
-    """The chain if it is similar enough, else its parts between the widest gaps (all of that
-    width at once, so there are as many rounds as widths)."""
+    """The chain if it is similar enough, else its best part and what is left on either side. Where
+    repeats hide that, the parts between the widest gaps (all of that width at once, so there are
+    as many rounds as widths)."""
     todo = [(rows, partners)]
     while todo:
         rows, partners = todo.pop()
@@ -340,6 +423,13 @@ def _accepted(a, b, rows, partners, width, similarity) -> Iterator[tuple[int, in
         share = len(one & other) / len(one | other)
         if share >= similarity:
             yield int(begin), int(end), int(begin_b), int(end_b), share
+            continue
+        best = _best_part(rows, partners, width, similarity)
+        if best and best != (0, len(rows)):
+            low, high = best
+            cut = [low, high]
+            parts = zip(np.split(rows, cut), np.split(partners, cut))
+            todo += [part for part in parts if len(part[0])]
         elif len(rows) > 2:
             steps = np.diff(rows) + np.diff(partners)
             if steps.max() > 2:

@@ -156,3 +156,24 @@ def test_a_passage_of_frequent_lines(spark):
     rows = repeated_passages(docs(spark, [" ".join(t) for t in texts])).collect()
     found = {(r["doc_id"], r["other_id"]) for r in rows}
     assert found == {(7 * k + 6, 7 * k + 5) for k in range(60)}
+
+
+def test_passages_near_repeats_and_edits():
+    """The passage behind its own opening, and with words put into its middle."""
+    rng, known = random.Random(13), WordHashes()
+    for _ in range(20):
+        for opening, apart, size in ((20, 10, 60), (20, 40, 60), (6, 15, 55), (30, 5, 70)):
+            passage = prose(rng, size)
+            a = prose(rng, 90) + passage + prose(rng, 90)
+            b = prose(rng, 90) + passage[:opening] + prose(rng, apart) + passage + prose(rng, 90)
+            assert brute(a, b)
+            for one, other in ((a, b), (b, a)):
+                found = shared_passages(*(shingles(" ".join(t), known) for t in (one, other)))
+                assert any(e - s >= size for s, e, *_ in found)
+    for size, more in ((88, 12), (200, 30), (120, 17)):
+        passage = prose(rng, size)
+        edited = passage[: size // 2] + prose(rng, more) + passage[size // 2 :]
+        a, b = prose(rng, 60) + passage + prose(rng, 60), prose(rng, 60) + edited + prose(rng, 60)
+        found = shared_passages(*(shingles(" ".join(t), known) for t in (a, b)))
+        assert [(s, e) for s, e, *_ in found] == [(60, 60 + size)]
+        assert found[0][4] >= 0.8
