@@ -163,23 +163,25 @@ def near_keys(ids: np.ndarray, places: np.ndarray, keys: np.ndarray, width: int)
 def open_keys(
     marks: np.ndarray, other: np.ndarray, had: np.ndarray, found: list[tuple], width: int, path: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, which shingles are had): pairs of hashes of the windows that meet ``other`` outside
-    the passages ``found``, by preference of shingles that no first document had."""
+    """(keys, which shingles are had): pairs of hashes of the windows that ``ENOUGH`` hashes
+    link to ``other`` outside the passages ``found``, by preference of shingles that no first
+    document had."""
     shared = np.isin(marks, other)
     now = had | shared
     if len(marks) < width or not shared.any():
         return np.empty(0, np.int64), now
 
-    def some(places: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(places)])
-        return total[width:] > total[:-width]
-
-    again = some(shared & ~had) | (some(shared) & ~some(~now))
+    again = np.zeros(len(marks) - width + 1, np.int64)
+    last, low = had.astype(np.uint64) << np.uint64(63), np.uint64(2**63 - 1)
+    for j in range(FUNCTIONS):
+        heads = sliding_minimum((hashed(marks, j) >> np.uint64(1)) | last, width) & low
+        again += np.isin(heads, hashed(marks[shared], j) >> np.uint64(1))
+    again = again >= ENOUGH
     for start, end, *_ in found:
         again[start : max(start, end - (SHINGLE - 1) - width + 1)] = False
     if not again.any():
         return np.empty(0, np.int64), now
-    last, low = now.astype(np.uint64) << np.uint64(63), np.uint64(2**63 - 1)
+    last = now.astype(np.uint64) << np.uint64(63)
     heads = [
         (sliding_minimum((hashed(marks, j) >> np.uint64(1)) | last, width)[again] & low)
         for j in range(FUNCTIONS)
@@ -572,7 +574,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
         .withColumnsRenamed({"id": "doc_id", "first": "id", "text": "own"})
         .join(texts, "id")
         .select("doc_id", F.col("id").alias("other_id"), "own", F.col("text").alias("other"),
-                F.xxhash64("own").alias("row"), F.xxhash64("path", "id", "text").alias("path"), "had")
+                F.xxhash64("own").alias("row"), F.col("path").bitwiseXOR(F.xxhash64("id", "text")).alias("path"), "had")
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
