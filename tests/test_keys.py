@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 from hypothesis import HealthCheck, given, settings as hyp, strategies as st
 from pyspark.sql import functions as F
 

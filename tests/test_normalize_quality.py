@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from frames import rows
 
 from starload.operators.normalize import denormalize, insert_if_absent, keyed_members
 from starload.operators.quality import (
