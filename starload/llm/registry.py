@@ -4,11 +4,14 @@ from starload.llm import (
     exact_dedup,
     fingerprints,
     hmm,
+    infill,
     language,
     mixing,
     packing,
     passages,
     pii,
+    resampling,
+    sharding,
     simhash,
     toxicity,
 )
@@ -24,6 +27,9 @@ _MODULES = (
     fingerprints,
     language,
     hmm,
+    sharding,
+    infill,
+    resampling,
 )
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 TWINS = {name: sql for module in _MODULES for name, sql in module.TWINS.items()}
