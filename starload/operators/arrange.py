@@ -19,22 +19,37 @@ def union_all(sources: Sequence[DataFrame], ordinal: str | None = None) -> DataF
     return rows
 
 
-def sort_keys(columns: Sequence[str], case_sensitive: bool = True) -> list[Column]:
-    """Ascending sort keys; case-insensitive ones fall back on the text itself for ties."""
+def sort_keys(
+    columns: Sequence[str], case_sensitive: bool = True, collation: str | None = None
+) -> list[Column]:
+    """Ascending sort keys; case-insensitive and collated ones fall back on the text itself for ties.
+
+    ``collation`` is one of Spark's ("UNICODE_CI", "UNICODE_AI", "de_CI_AI", ...) for text columns.
+    """
     keys: list[Column] = []
     for c in columns:
-        if not case_sensitive:
+        if collation:
+            keys.append(F.collate(F.col(c), collation))
+        elif not case_sensitive:
             keys.append(F.lower(c))
         keys.append(F.col(c))
     return keys
 
 
-def sorted_rows(df: DataFrame, columns: Sequence[str], case_sensitive: bool = True) -> DataFrame:
-    return df.orderBy(*sort_keys(columns, case_sensitive))
+def sorted_rows(
+    df: DataFrame,
+    columns: Sequence[str],
+    case_sensitive: bool = True,
+    collation: str | None = None,
+) -> DataFrame:
+    return df.orderBy(*sort_keys(columns, case_sensitive, collation))
 
 
 def merge_sorted(
-    sources: Sequence[DataFrame], columns: Sequence[str], case_sensitive: bool = True
+    sources: Sequence[DataFrame],
+    columns: Sequence[str],
+    case_sensitive: bool = True,
+    collation: str | None = None,
 ) -> DataFrame:
     """Several inputs as one sorted output."""
-    return sorted_rows(union_all(sources), columns, case_sensitive)
+    return sorted_rows(union_all(sources), columns, case_sensitive, collation)

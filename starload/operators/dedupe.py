@@ -11,18 +11,26 @@ from pyspark.sql.window import Window
 from starload.operators.copies import expand_copies
 
 
-def dedupe(df: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+def dedupe(
+    df: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] | None = None,
+    collation: str | None = None,
+) -> DataFrame:
     """The lowest row per key by ``order`` and then all other columns, nulls last.
 
     The filter on the row number lets Spark keep one row per key before the shuffle, so a hot
-    key sends at most one row per map task.
+    key sends at most one row per map task. With a ``collation`` keys are equal that it holds for
+    equal, and the key's own text decides after all other columns.
     """
     order = list(order or [])
     rest = [c for c in df.columns if c not in key and c not in order]
-    if not order and not rest:
+    if not order and not rest and not collation:
         return df.dropDuplicates()
+    equal = [F.collate(F.col(c), collation) for c in key] if collation else list(key)
+    rest += key if collation else []
     lowest = [F.col(c).asc_nulls_last() for c in (*order, *rest)]
-    window = Window.partitionBy(*key).orderBy(*lowest)
+    window = Window.partitionBy(*equal).orderBy(*lowest)
     return df.withColumn("_row", F.row_number().over(window)).where("_row = 1").drop("_row")
 
 

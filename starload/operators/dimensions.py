@@ -41,15 +41,18 @@ class Dimension:
         return [self.tk, "version", "date_from", "date_to", *self.columns]
 
 
-def members(sources: Sequence[DataFrame], spec: Dimension) -> DataFrame:
-    """One row per natural key over all sources, without keys.
+def member_rows(
+    sources: Sequence[DataFrame], spec: Dimension, more: Sequence[str] = ()
+) -> DataFrame:
+    """Key, attributes and the columns ``more`` of all rows of all sources that name a member.
 
     Null keys are dropped on the raw column, before normalising, so that scans can skip them.
     The natural key of the unknown member is not a member of its own.
     """
     required = [c for c in spec.natural_key if c not in spec.nullable_key]
+    further = [c for c in more if c not in spec.columns]
     parts = [
-        drop_null_keys(source.select(*spec.columns), required).withColumns(
+        drop_null_keys(source.select(*spec.columns, *further), required).withColumns(
             {c: norm_str(c) for c in spec.normalized}
         )
         for source in sources
@@ -63,7 +66,12 @@ def members(sources: Sequence[DataFrame], spec: Dimension) -> DataFrame:
         for c, value in named.items():
             is_unknown &= F.col(c).eqNullSafe(F.lit(value))
         rows = rows.where(~is_unknown)
-    return dedupe(rows, spec.natural_key)
+    return rows
+
+
+def members(sources: Sequence[DataFrame], spec: Dimension) -> DataFrame:
+    """One row per natural key over all sources, without keys."""
+    return dedupe(member_rows(sources, spec), spec.natural_key)
 
 
 def with_validity(

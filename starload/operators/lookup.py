@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.text import norm_str
+from starload.operators.dedupe import dedupe
 from starload.tables import materialize
 
 
@@ -28,6 +29,7 @@ def resolve_key(
     unique: bool = False,
     out: str | None = None,
     normalized: Sequence[str] = (),
+    collation: str | None = None,
 ) -> DataFrame:
     """Add the key ``tk`` of the member of ``dim`` that matches.
 
@@ -35,13 +37,29 @@ def resolve_key(
     match null with null. Several members with one natural key: the lowest ``tk`` wins
     (they are reduced and written once; ``unique=True`` promises that ``dim`` is a table without
     any and saves that). ``normalized`` columns of ``dim`` are brought to the form of ``norm_str``
-    before they are compared. ``on_miss``: "default" keeps the row with ``default``, "null" keeps it
+    before they are compared; ``collation`` compares text columns by a collation of Spark ("UNICODE_CI"
+    takes no notice of case, "UNICODE_CI_AI" of case and accents). ``on_miss``: "default" keeps the row with ``default``, "null" keeps it
     without a key, "drop" leaves it out.
     """
     if on_miss not in ("default", "null", "drop"):
         raise ValueError(f"on_miss: {on_miss}")
     pairs = dict(on) if isinstance(on, Mapping) else {c: c for c in on}
-    out = out or tk
+    members, names = single_members(dim, pairs, tk, unique, normalized, collation)
+    condition = matches(names, null_safe, collation)
+    joined = df.join(members, condition, "inner" if on_miss == "drop" else "left")
+    found = F.coalesce(F.col("_tk"), F.lit(default)) if on_miss == "default" else F.col("_tk")
+    return joined.withColumn(out or tk, found.cast("bigint")).drop(*names.values(), "_tk")
+
+
+def single_members(
+    dim: DataFrame,
+    pairs: Mapping[str, str],
+    tk: str,
+    unique: bool,
+    normalized: Sequence[str],
+    collation: str | None = None,
+) -> tuple[DataFrame, dict[str, str]]:
+    """The members with one ``_tk`` per natural key, and what the columns of ``pairs`` are called."""
     names = {left: f"_member_{i}" for i, left in enumerate(pairs)}
     members = dim.select(
         *[
@@ -50,19 +68,32 @@ def resolve_key(
         ],
         F.col(tk).alias("_tk"),
     )
-    if not unique or normalized:
+    if collation:
+        members = materialize(
+            dedupe(members, list(names.values()), ["_tk"], collation=collation), "members"
+        )
+    elif not unique or normalized:
         members = materialize(
             members.groupBy(*names.values()).agg(F.min("_tk").alias("_tk")), "members"
         )
+    return members, names
+
+
+def matches(
+    names: Mapping[str, str], null_safe: Sequence[str] = (), collation: str | None = None
+) -> Column:
+    """The join condition of these pairs of columns; null meets null in those of ``null_safe``."""
+
+    def side(name: str) -> Column:
+        return F.collate(F.col(name), collation) if collation else F.col(name)
+
     condition = F.lit(True)
-    for left, member in names.items():
+    for left, right in names.items():
         if left in null_safe:
-            condition &= F.col(left).eqNullSafe(F.col(member))
+            condition &= side(left).eqNullSafe(side(right))
         else:
-            condition &= F.col(left) == F.col(member)
-    joined = df.join(members, condition, "inner" if on_miss == "drop" else "left")
-    found = F.coalesce(F.col("_tk"), F.lit(default)) if on_miss == "default" else F.col("_tk")
-    return joined.withColumn(out, found.cast("bigint")).drop(*names.values(), "_tk")
+            condition &= side(left) == side(right)
+    return condition
 
 
 def fk_first_match(

@@ -26,6 +26,7 @@ from starload.operators.cleanse import (
     to_flag,
 )
 from starload.operators.dimensions import (
+    UNKNOWN_KEY,
     Dimension,
     backfill_dimension,
     backfill_rows,
@@ -47,7 +48,12 @@ from starload.plans.schemas import (
     STATE_NAMES,
 )
 from starload.sources import overwrite_table, read_jdbc, read_parquet, write_jdbc
-from starload.sources.batches import append_batch, resume_batch, switch_tables
+from starload.sources.batches import (
+    append_batch,
+    resume_batch,
+    resume_switch,
+    switch_tables,
+)
 from starload.sources.jdbc import Partitioning
 from starload.tables import materialize, side_by_side
 
@@ -94,6 +100,12 @@ DATES_DIM = Dimension(
     nullable_key=["incident_duration"],
     unknown={"incident_duration": 0},
 )
+# A request's title and type change from declaration to declaration.
+REQUEST_DIM = Dimension(
+    tk="declaration_tk",
+    natural_key=["declaration_request_number"],
+    attributes=["declaration_title", "declaration_type"],
+)
 # One member per pair of dates, with the lowest duration as attribute.
 DATES_PAIR_DIM = Dimension(
     tk="incident_dates_tk",
@@ -448,32 +460,54 @@ def build_star(
     return Star(staging, *dims, fact)
 
 
+def _named_tables(star: Star) -> dict[str, DataFrame]:
+    tables = (star.state, star.county, star.disaster, star.declaration, star.dates, star.fact)
+    return dict(zip(STAR_TABLES, tables))
+
+
 def star_tables(star: Star) -> dict[str, DataFrame]:
     """Star tables by the name they are stored under; an empty one is an error."""
-    tables = dict(
-        zip(
-            STAR_TABLES,
-            (star.state, star.county, star.disaster, star.declaration, star.dates, star.fact),
-        )
-    )
-    return {name: require_rows(table, name) for name, table in tables.items()}
+    return {name: require_rows(table, name) for name, table in _named_tables(star).items()}
 
 
 def load_star(star: Star, folder: str) -> DataFrame:
     """Write the star schema under ``folder`` (overwriting) and return the unknown-key report.
 
     The tables are written beside those in use; only when all are there are they put in their
-    place, so a load that fails leaves the earlier star whole.
+    place, so a load that fails leaves the earlier star whole. The report is counted by the tasks
+    that write the fact; no table is read again.
+    """
+    found = load_star_counts(star, folder)["disaster_fact"]
+    names = ["n_rows", *[f"unknown_{key}" for key in FACT_KEYS]]
+    schema = ", ".join(f"{name} bigint" for name in names)
+    return star.fact.sparkSession.createDataFrame([tuple(found[name] for name in names)], schema)
+
+
+def load_star_counts(star: Star, folder: str) -> dict[str, dict[str, int]]:
+    """Load like ``load_star``; per table its row count and how many rows have each key unknown.
+
+    All counts are taken while the tables are written. An empty table is an error, found before
+    anything is put in place.
     """
-    tables = star_tables(star)
-    switch_tables(tables, folder)
     spark = star.fact.sparkSession
-    return unknown_report(
-        read_parquet(spark, f"{folder}/disaster_fact", star.fact.schema), FACT_KEYS
-    )
+    resume_switch(spark, folder, STAR_TABLES)
+    rows = {"n_rows": F.count(F.lit(1))}
+    metrics = {name: rows for name in STAR_TABLES}
+    metrics["disaster_fact"] = rows | {
+        f"unknown_{key}": F.count_if(F.col(key) == UNKNOWN_KEY) for key in FACT_KEYS
+    }
+
+    def check(found: dict[str, dict[str, int]]) -> None:
+        for name, counts in found.items():
+            if not counts["n_rows"]:
+                raise RuntimeError(f"{name} is empty, nothing is put in place")
+
+    return switch_tables(_named_tables(star), folder, metrics, check)
 
 
 def stored_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the last load that was written whole."""
+    resume_switch(spark, folder, STAR_TABLES)
     return {name: read_parquet(spark, f"{folder}/{name}") for name in STAR_TABLES}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from starload.functions import (
     tidy_text,
 )
 from starload.operators.arrange import merge_sorted, sorted_rows, union_all
+from starload.operators.bitmaps import distinct_keys, fk_orphans_dense, pk_violations_dense
 from starload.operators.cleanse import (
     drop_columns,
     drop_null_keys,
@@ -36,6 +38,8 @@ from starload.operators.dimensions import (
     without_unknown,
 )
 from starload.operators.fact import resolve_all
+from starload.operators.history import build_history, resolve_key_at, update_history
+from starload.operators.hot import resolve_hot_key
 from starload.operators.keys import append_keys, dense_key, next_key, placed_key
 from starload.operators.lookup import fk_first_match, resolve_key
 from starload.operators.mapping import map_codes
@@ -50,16 +54,22 @@ from starload.operators.quality import (
     rows_for_member,
     unknown_report,
 )
-from starload.operators.split import complement, split_exact, split_hash
+from starload.operators.sketches import distinct_estimates, distinct_sketches
+from starload.operators.split import complement, split_exact, split_exact_bag, split_hash
 from starload.plans import declarations as d
 from starload.plans import roles
 from starload.sources import (
+    append_table,
     overwrite_table,
     read_csv,
+    read_parquet,
+    readback_content,
     readback_count,
     split_rejects,
+    write_bucketed,
     write_csv,
 )
+from starload.streaming import feed_increments
 from starload.tables import fresh_path, materialize, side_by_side
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -812,10 +822,11 @@ def clean_halves(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("apply_increment")
-def apply_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored fact with its natural keys, half of the increment loaded with the star and half
-    added later, twice (the second time changes nothing)."""
+def _loaded_star(
+    spark: SparkSession, sf_dir: str
+) -> tuple[str, int, DataFrame, list[str]]:
+    """A stored star of the historical half and half of the increment: its folder, its number of
+    fact rows, the other half of the increment, and what tells declarations apart."""
     types = roles.disaster(spark, sf_dir)
     historical, increment = roles.halves(spark, sf_dir)
     first, later = (
@@ -833,11 +844,13 @@ def apply_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         tie_break=ties,
     )
     folder = fresh_path(spark, "star")
-    d.load_star(star, folder)
-    for _ in range(2):
-        d.apply_increment(spark, folder, later, "later", LOAD_TS, ties)
+    report = d.load_star(star, folder)
+    return folder, report.first()["n_rows"], later, ties
+
+
+def _named_fact(spark: SparkSession, folder: str, loaded: int) -> DataFrame:
+    """The stored fact with natural keys; rows after the first ``loaded`` ones are the later ones."""
     stored = d.stored_star(spark, folder)
-    loaded = star.fact.count()
     rows = stored["disaster_fact"].withColumn("is_later", F.col(d.FACT_TK) > loaded)
     for name, tk in zip(d.STAR_TABLES, d.FACT_KEYS):
         rows = rows.join(stored[name].drop("version", "date_from", "date_to"), tk)
@@ -852,3 +865,204 @@ def apply_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "incident_duration",
         "deaths",
     )
+
+
+@query("apply_increment")
+def apply_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored fact with its natural keys, half of the increment loaded with the star and half
+    added later, twice (the second time changes nothing)."""
+    folder, loaded, later, ties = _loaded_star(spark, sf_dir)
+    for _ in range(2):
+        d.apply_increment(spark, folder, later, "later", LOAD_TS, ties)
+    return _named_fact(spark, folder, loaded)
+
+
+@query("feed_increments")
+def feed_increments_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, the later half arriving as files that a stream takes in: two runs with new files
+    and one without."""
+    folder, loaded, later, ties = _loaded_star(spark, sf_dir)
+    source, checkpoint = fresh_path(spark, "arrived"), fresh_path(spark, "feed")
+    for part in (1, 3, None):
+        if part:
+            append_table(later.where(F.col("declaration_id") % 4 == part), source)
+        feed_increments(
+            spark, source, later.schema, folder, checkpoint, LOAD_TS, ties, files_per_batch=4
+        )
+    return _named_fact(spark, folder, loaded)
+
+
+@query("load_star_counts")
+def load_star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the tasks counted that wrote the star."""
+    counts = d.load_star_counts(_star(spark, sf_dir), fresh_path(spark, "star"))
+    lines = [(name, metric, n) for name, found in counts.items() for metric, n in found.items()]
+    return spark.createDataFrame(lines, "table_name string, metric string, n bigint")
+
+
+# ---- versions ------------------------------------------------------------------------------
+
+
+def _request_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions of the requests: the historical half, then the increment, which also brings changes
+    that lie between those known."""
+    historical, increment = (d.typed_declarations(h) for h in roles.halves(spark, sf_dir))
+    first = materialize(build_history([historical], d.REQUEST_DIM, "declaration_date"), "first")
+    for _ in range(2):  # the second time changes nothing
+        updated = update_history(first, [increment], d.REQUEST_DIM, "declaration_date")
+        first = materialize(updated, "updated")
+    return first
+
+
+@query("dim_versions")
+def dim_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dated(_request_history(spark, sf_dir))
+
+
+@query("resolve_at_date")
+def resolve_at_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declarations and the version of their request that was valid when the incident ended."""
+    rows = roles.declaration(spark, sf_dir).select(
+        "id", "declaration_request_number", "incident_end_date"
+    )
+    dim = _request_history(spark, sf_dir)
+    key = d.REQUEST_DIM.natural_key
+    return resolve_key_at(rows, dim, key, "declaration_tk", "incident_end_date")
+
+
+@query("resolve_at_date_sorted")
+def resolve_at_date_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by the way for members with many versions."""
+    rows = roles.declaration(spark, sf_dir).select(
+        "id", "declaration_request_number", "incident_end_date"
+    )
+    dim = _request_history(spark, sf_dir)
+    key = d.REQUEST_DIM.natural_key
+    return resolve_key_at(
+        rows, dim, key, "declaration_tk", "incident_end_date", few_versions=0
+    )
+
+
+# ---- hot keys, buckets, collations ---------------------------------------------------------
+
+
+@query("resolve_hot")
+def resolve_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items of which a third have one part, others none or one the dimension lacks."""
+    parts = roles.table(spark, sf_dir, "part").where("p_partkey % 5 <> 0").select("p_partkey")
+    dim = dense_key(parts, ["p_partkey"], "part_tk")
+    third = F.col("l_orderkey") % 3
+    rows = roles.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(third == 0, 7)
+        .when((third == 1) & (F.col("l_linenumber") % 2 == 0), F.lit(None))
+        .otherwise(F.col("l_partkey") * 2)
+        .cast("bigint")
+        .alias("part"),
+    )
+    rows = materialize(rows, "rows")
+    return resolve_hot_key(rows, dim, {"part": "p_partkey"}, "part_tk", unique=True)
+
+
+@query("resolve_bucketed")
+def resolve_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and counties written in buckets of the county, then looked up without an exchange."""
+    county = roles.table(spark, sf_dir, "customer").where("c_custkey % 5 <> 0").select("c_custkey")
+    orders = roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    dim = dense_key(county, ["c_custkey"], "county_tk")
+    label = uuid4().hex
+    dim, rows = (
+        write_bucketed(df, f"{name}_{label}", fresh_path(spark, name), [key], 8)
+        for name, df, key in (("county", dim, "c_custkey"), ("orders", orders, "o_custkey"))
+    )
+    return resolve_key(rows, dim, {"o_custkey": "c_custkey"}, "county_tk", unique=True)
+
+
+_COLLATION = "UNICODE_CI_AI"
+
+
+def _spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three customers share a name, which each spells in another way."""
+    third = F.col("c_custkey") % 3
+    number = F.lpad(F.floor(F.col("c_custkey") / 3).cast("string"), 9, "0")
+    name = F.concat(F.lit("Customer "), number)
+    spelled = F.when(third == 0, F.upper(name)).when(third == 1, F.replace(name, F.lit("u"), F.lit("ú")))
+    customer = roles.table(spark, sf_dir, "customer")
+    return customer.select("c_custkey", spelled.otherwise(name).alias("county_name"))
+
+
+@query("resolve_collated")
+def resolve_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One member per name, whatever its case and accents, found under every spelling."""
+    rows = materialize(_spelled(spark, sf_dir), "spelled")
+    members = dedupe(rows, ["county_name"], ["c_custkey"], collation=_COLLATION)
+    by_name = [F.collate("county_name", _COLLATION)]
+    dim = dense_key(members.select("county_name"), by_name, "county_tk")
+    return resolve_key(rows, dim, ["county_name"], "county_tk", collation=_COLLATION).select(
+        "c_custkey", "county_tk"
+    )
+
+
+@query("sorted_collated")
+def sorted_collated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sorted_rows(_spelled(spark, sf_dir), ["county_name"], collation=_COLLATION)
+    return placed_key(rows, "position").select("c_custkey", "position")
+
+
+# ---- checks by bitmaps, sketches and checksums ---------------------------------------------
+
+
+@query("pk_violations_dense")
+def pk_violations_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pk_violations_dense(roles.table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@query("fk_orphans_dense")
+def fk_orphans_dense_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, historical = split_hash(
+        roles.table(spark, sf_dir, "orders"), ["o_orderkey"], roles.INCREMENT, roles.SPLIT_SEED
+    )
+    lineitem = roles.table(spark, sf_dir, "lineitem")
+    return fk_orphans_dense(lineitem, historical, "l_orderkey", "o_orderkey")
+
+
+@query("distinct_keys")
+def distinct_keys_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return distinct_keys(roles.table(spark, sf_dir, "lineitem"), "l_partkey")
+
+
+@query("distinct_sketches")
+def distinct_sketches_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two loads, kept as a table; merged, they are within 3 % of the exact count."""
+    orders, columns = roles.table(spark, sf_dir, "orders"), ["o_custkey", "o_orderdate", "o_orderkey"]
+    loads = split_hash(orders, ["o_orderkey"], roles.INCREMENT, roles.SPLIT_SEED)
+    path = fresh_path(spark, "sketches")
+    for name, load in zip(("increment", "historical"), loads):
+        append_table(distinct_sketches(load, columns, name), path)
+    merged = distinct_estimates(read_parquet(spark, path))
+    exact = orders.agg(*[F.count_distinct(c).alias(c) for c in columns])
+    lines = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n")) for c in columns])
+    both = merged.join(exact.select(F.inline(lines)), "column_name")
+    near = F.abs(F.col("n_distinct") - F.col("n")) <= F.col("n") * 0.03
+    return both.select("column_name", F.col("n").alias("n_exact"), near.alias("is_near"))
+
+
+@query("sink_readback_content")
+def sink_readback_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read back as it was written, and one in which two values changed places."""
+    customer = roles.table(spark, sf_dir, "customer")
+    stored = overwrite_table(customer, fresh_path(spark, "content"))
+    swapped = F.when(F.col("c_custkey") == 1, 2).when(F.col("c_custkey") == 2, 1)
+    other = stored.withColumn("c_custkey", swapped.otherwise(F.col("c_custkey")).cast("bigint"))
+    return union_all([readback_content(customer, stored), readback_content(customer, other)])
+
+
+@query("split_exact_bag")
+def split_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of exact size of a table whose rows repeat."""
+    rows = roles.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus")
+    sample, rest = split_exact_bag(rows, 0.3, roles.SPLIT_SEED)
+    return sample.withColumn("half", F.lit("sample")).unionByName(
+        rest.withColumn("half", F.lit("rest"))
+    )

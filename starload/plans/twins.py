@@ -785,3 +785,183 @@ TWINS["apply_increment"] = f"""
         deaths
     from typed
 """
+
+TWINS["feed_increments"] = TWINS["apply_increment"]
+
+TWINS["load_star_counts"] = f"""
+    {_STAR}
+    select 'state_dim' as table_name, 'n_rows' as metric, count(*) as n from state_dim
+    union all select 'county_dim', 'n_rows', count(*) from county_dim
+    union all select 'disaster_dim', 'n_rows', count(*) from disaster_dim
+    union all select 'declaration_dim', 'n_rows', count(*) from declaration_dim
+    union all select 'incident_datesdim', 'n_rows', count(*) from dates_dim
+    union all select 'disaster_fact', 'n_rows', count(*) from fact
+    union all select 'disaster_fact', 'unknown_state_tk', count(*) filter (state_tk = 0) from fact
+    union all select 'disaster_fact', 'unknown_county_tk', count(*) filter (county_tk = 0) from fact
+    union all select 'disaster_fact', 'unknown_disaster_tk', count(*) filter (disaster_tk = 0)
+    from fact
+    union all select 'disaster_fact', 'unknown_declaration_tk',
+        count(*) filter (declaration_tk = 0) from fact
+    union all select 'disaster_fact', 'unknown_incident_dates_tk',
+        count(*) filter (incident_dates_tk = 0) from fact
+"""
+
+
+def _request_rows(which: str) -> str:
+    """One row per request and date, the lowest."""
+    return f"""
+        select declaration_request_number as k, declaration_date as since,
+            declaration_title as title, declaration_type as type
+        from declaration where {which} and declaration_date is not null
+        qualify row_number() over (
+            partition by k, since order by title nulls last, type nulls last
+        ) = 1
+    """
+
+
+# The second load keeps the stored versions and adds what differs from the version before.
+_REQUESTS = f"""
+with {_DECLARATION},
+first_load as (
+    select *, row_number() over (partition by k order by since) = 1 as is_first from (
+        select *, lag((title, type)) over (partition by k order by since) as before
+        from ({_request_rows("not is_increment")})
+    ) where before is null or before is distinct from (title, type)
+),
+stored as (
+    select k, case when is_first then date '1900-01-01' else since end as since, title, type,
+        row_number() over (order by k, first_load.since) as tk
+    from first_load
+),
+both_loads as (
+    select * from stored
+    union all
+    select *, null from ({_request_rows("is_increment")}) as later
+    where not exists (select 1 from stored where stored.k = later.k and stored.since = later.since)
+),
+changes as (
+    select * from (
+        select *, lag((title, type)) over (partition by k order by since) as before from both_loads
+    ) where tk is not null or before is null or before is distinct from (title, type)
+),
+versions as (
+    select
+        coalesce(tk, (select max(tk) from stored)
+            + sum(case when tk is null then 1 else 0 end) over (order by k, since)) as declaration_tk,
+        row_number() over (partition by k order by since) as version,
+        since as date_from,
+        coalesce(lead(since) over (partition by k order by since), date '2200-01-01') as date_to,
+        k as declaration_request_number, title as declaration_title, type as declaration_type
+    from changes
+),
+request_dim as (
+    select cast(0 as bigint) as declaration_tk, cast(1 as integer) as version,
+        date '1900-01-01' as date_from, date '2200-01-01' as date_to,
+        cast(null as bigint) as declaration_request_number,
+        cast(null as varchar) as declaration_title, cast(null as varchar) as declaration_type
+    union all
+    select cast(declaration_tk as bigint), cast(version as integer),
+        case when version = 1 then date '1900-01-01' else date_from end, date_to,
+        declaration_request_number, declaration_title, declaration_type
+    from versions
+)
+"""
+
+TWINS["dim_versions"] = f"{_REQUESTS} select * from request_dim"
+
+TWINS["resolve_at_date"] = f"""
+    {_REQUESTS}
+    select id, declaration.declaration_request_number, incident_end_date,
+        coalesce(declaration_tk, 0) as declaration_tk
+    from declaration left join request_dim
+        on request_dim.declaration_request_number = declaration.declaration_request_number
+        and date_from <= incident_end_date and incident_end_date < date_to
+"""
+
+TWINS["resolve_at_date_sorted"] = TWINS["resolve_at_date"]
+
+TWINS["resolve_hot"] = """
+    with dim as (
+        select p_partkey, row_number() over (order by p_partkey) as tk
+        from part where p_partkey % 5 <> 0
+    ),
+    lines as (
+        select l_orderkey, l_linenumber,
+            case when l_orderkey % 3 = 0 then cast(7 as bigint)
+                when l_orderkey % 3 = 1 and l_linenumber % 2 = 0 then null
+                else l_partkey * 2 end as part
+        from lineitem
+    )
+    select l_orderkey, l_linenumber, part, coalesce(tk, 0) as part_tk
+    from lines left join dim on p_partkey = part
+"""
+
+TWINS["resolve_bucketed"] = """
+    select o_orderkey, o_custkey, coalesce(tk, 0) as county_tk
+    from orders left join (
+        select c_custkey, row_number() over (order by c_custkey) as tk
+        from customer where c_custkey % 5 <> 0
+    ) on c_custkey = o_custkey
+"""
+
+TWINS["resolve_collated"] = """
+    select c_custkey, dense_rank() over (order by c_custkey // 3) as county_tk from customer
+"""
+
+TWINS["sorted_collated"] = """
+    select c_custkey, row_number() over (order by strip_accents(lower(name)), name) as position
+    from (
+        select c_custkey,
+            case c_custkey % 3
+                when 0 then upper('Customer ' || number)
+                when 1 then replace('Customer ' || number, 'u', 'ú')
+                else 'Customer ' || number
+            end as name
+        from (select c_custkey, lpad(cast(c_custkey // 3 as varchar), 9, '0') as number from customer)
+    )
+"""
+
+TWINS["pk_violations_dense"] = """
+    select o_custkey, count(*) as n_rows from orders group by o_custkey
+    having count(*) > 1 or o_custkey is null
+"""
+
+TWINS["fk_orphans_dense"] = TWINS["fk_orphans"]
+
+TWINS["distinct_keys"] = "select count(distinct l_partkey) as n_distinct from lineitem"
+
+TWINS["distinct_sketches"] = """
+    select 'o_custkey' as column_name, count(distinct o_custkey) as n_exact, true as is_near
+    from orders
+    union all select 'o_orderdate', count(distinct o_orderdate), true from orders
+    union all select 'o_orderkey', count(distinct o_orderkey), true from orders
+"""
+
+TWINS["sink_readback_content"] = """
+    select count(*) as rows_written, count(*) as rows_read, true as same_schema,
+        true as same_content
+    from customer
+    union all select count(*), count(*), true, false from customer
+"""
+
+TWINS["split_exact_bag"] = """
+    with counted as (
+        select l_returnflag, l_linestatus, count(*) as copies,
+            md5('1:' || coalesce(length(l_returnflag) || '=' || l_returnflag, 'null') || ':'
+                || coalesce(length(l_linestatus) || '=' || l_linestatus, 'null')) as h
+        from lineitem group by all
+    ),
+    cut as (
+        select *, greatest(0, least(copies,
+            round_even(0.3 * sum(copies) over (), 0)
+                - coalesce(sum(copies) over (
+                    order by h rows between unbounded preceding and 1 preceding), 0)
+        )) as taken
+        from counted
+    )
+    select l_returnflag, l_linestatus, 'sample' as half
+    from (select *, unnest(range(cast(taken as bigint))) from cut)
+    union all
+    select l_returnflag, l_linestatus, 'rest' as half
+    from (select *, unnest(range(cast(copies - taken as bigint))) from cut)
+"""

@@ -5,12 +5,13 @@ Putting in place is renaming, which moves no data on a file system that has rena
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _BESIDE = "_loading"
+_SWITCH = "switch-"
 
 
 def _files(spark: SparkSession, path: str):
@@ -37,19 +38,76 @@ def _remove(spark: SparkSession, path: str) -> None:
     files.delete(at, True)
 
 
-def switch_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write all ``tables`` beside ``folder``'s, then put them in the place of the old ones."""
+def write_observed(
+    df: DataFrame, path: str, metrics: Mapping[str, Column]
+) -> dict[str, int]:
+    """Write ``df`` as Parquet; what the writing tasks themselves measured (aggregates by name).
+
+    The metrics belong to the last stage, whose tasks count once each, however often one is tried.
+    """
+    seen = Observation()
+    df.observe(seen, *[metric.alias(name) for name, metric in metrics.items()]).write.parquet(path)
+    return seen.get
+
+
+def switch_tables(
+    tables: Mapping[str, DataFrame],
+    folder: str,
+    metrics: Mapping[str, Mapping[str, Column]] | None = None,
+    check: Callable[[dict[str, dict[str, int]]], None] | None = None,
+) -> dict[str, dict[str, int]]:
+    """Write all ``tables`` beside ``folder``'s, then put them in the place of the old ones.
+
+    ``metrics`` are measured while the tables are written, and ``check`` may refuse them by raising:
+    nothing is put in place then. A switch that broke off while its tables were put in place is
+    finished by ``resume_switch``.
+    """
     spark = next(iter(tables.values())).sparkSession
-    beside = f"{folder}/{_BESIDE}/{uuid4().hex}"
+    beside = f"{folder}/{_BESIDE}/{_SWITCH}{uuid4().hex}"
+    found: dict[str, dict[str, int]] = {}
     for name, table in tables.items():
-        table.write.parquet(f"{beside}/new/{name}")
-    for name in tables:
+        measured = (metrics or {}).get(name)
+        if measured:
+            found[name] = write_observed(table, f"{beside}/new/{name}", measured)
+        else:
+            table.write.parquet(f"{beside}/new/{name}")
+    if check:
+        try:
+            check(found)
+        except Exception:
+            _remove(spark, beside)
+            raise
+    _mark(spark, f"{beside}/whole")
+    _put_in_place(spark, folder, beside, list(tables))
+    return found
+
+
+def _put_in_place(spark: SparkSession, folder: str, beside: str, names: Sequence[str]) -> None:
+    """Put the new tables in place; done again it goes on where it stopped."""
+    for name in names:
+        if not _exists(spark, f"{beside}/new/{name}"):
+            continue  # is in place already
         if _exists(spark, f"{folder}/{name}"):
             _rename(spark, f"{folder}/{name}", f"{beside}/old/{name}")
         _rename(spark, f"{beside}/new/{name}", f"{folder}/{name}")
     _remove(spark, beside)
 
 
+def resume_switch(spark: SparkSession, folder: str, names: Sequence[str]) -> bool:
+    """Finish a switch whose tables were all written but not all put in place; whether there was
+    one. Readers call it first, so that they never see tables of two loads."""
+    files, at = _files(spark, f"{folder}/{_BESIDE}")
+    if not files.exists(at):
+        return False
+    resumed = False
+    for status in files.listStatus(at):
+        path = status.getPath()
+        if path.getName().startswith(_SWITCH) and _exists(spark, f"{path}/whole"):
+            _put_in_place(spark, folder, path.toString(), names)
+            resumed = True
+    return resumed
+
+
 def _moved_in(spark: SparkSession, folder: str, names: Sequence[str], batch: str) -> None:
     """Move the files of a batch that is written whole; done again it goes on where it stopped."""
     beside = f"{folder}/{_BESIDE}/{batch}"

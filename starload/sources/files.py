@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -21,6 +21,10 @@ def _options(delimiter: str, quote: str, whole_text: bool) -> dict[str, object]:
     return options
 
 
+def as_schema(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -55,7 +59,7 @@ def read_csv(
         "mode": "FAILFAST" if on_bad == "fail" else "PERMISSIVE",
         **options,
     }
-    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    declared = as_schema(schema)
     header = spark.read.options(**reading).csv(path).columns
     missing = [f.name for f in declared.fields if f.name not in header]
     if missing:
@@ -125,12 +129,16 @@ def append_table(df: DataFrame, path: str) -> DataFrame:
     return read_parquet(df.sparkSession, path, df.schema)
 
 
-def readback_count(written: DataFrame, read: DataFrame) -> DataFrame:
-    """One row: rows written, rows read back, and whether column names and types agree."""
-
+def _same_schema(written: DataFrame, read: DataFrame) -> Column:
     def shape(df: DataFrame) -> list[tuple[str, str]]:
         return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
 
+    return F.lit(shape(written) == shape(read)).alias("same_schema")
+
+
+def readback_count(written: DataFrame, read: DataFrame) -> DataFrame:
+    """One row: rows written, rows read back, and whether column names and types agree."""
+
     counts = [
         df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(side).alias("side"), "n")
         for side, df in (("written", written), ("read", read))
@@ -142,5 +150,49 @@ def readback_count(written: DataFrame, read: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("side") == "written", F.col("n"))).alias("rows_written"),
             F.sum(F.when(F.col("side") == "read", F.col("n"))).alias("rows_read"),
         )
-        .withColumn("same_schema", F.lit(shape(written) == shape(read)))
+        .withColumn("same_schema", _same_schema(written, read))
+    )
+
+
+def table_checksum(df: DataFrame) -> DataFrame:
+    """One row, ``n_rows``, ``sum_1``, ``sum_2``: equal for tables with the same rows, each as often,
+    in any order, and (but for a chance of 2 ** -64 and less) for no others.
+
+    One pass, summed in each task. Columns count in their order, a null apart from every value.
+    """
+    nulls = F.concat(F.lit(""), *[F.col(f"`{c}`").isNull().cast("string") for c in df.columns])
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    hashed = df.select(
+        *[F.xxhash64(F.lit(i), nulls, *columns).cast("decimal(38,0)").alias(f"h{i}") for i in (1, 2)]
+    )
+    return hashed.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum("h1"), F.lit(0)).alias("sum_1"),
+        F.coalesce(F.sum("h2"), F.lit(0)).alias("sum_2"),
+    )
+
+
+def readback_content(written: DataFrame, read: DataFrame) -> DataFrame:
+    """``readback_count``, and whether all rows came back as they were (``same_content``)."""
+    if set(written.columns) != set(read.columns):
+        return readback_count(written, read).withColumn("same_content", F.lit(False))
+    again = read.select(*[F.col(f"`{c}`") for c in written.columns])
+    sides = [
+        table_checksum(df).withColumn("side", F.lit(side))
+        for side, df in (("written", written), ("read", again))
+    ]
+
+    def rows(side: str) -> Column:
+        return F.sum(F.when(F.col("side") == side, F.col("n_rows")))
+
+    same = [F.min(c) == F.max(c) for c in ("n_rows", "sum_1", "sum_2")]
+    return (
+        sides[0]
+        .unionByName(sides[1])
+        .agg(
+            rows("written").alias("rows_written"),
+            rows("read").alias("rows_read"),
+            (same[0] & same[1] & same[2]).alias("same_content"),
+        )
+        .select("rows_written", "rows_read", _same_schema(written, read), "same_content")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from starload.operators.arrange import union_all
 from starload.operators.dimensions import backfill_rows
 from starload.operators.keys import max_key
-from starload.operators.quality import fk_orphans, pk_violations
+from starload.operators.quality import fk_orphans, pk_violations, unknown_report
 from starload.operators.split import split_exact
 from starload.plans import declarations as d
 from starload.plans import schemas
@@ -187,6 +187,50 @@ def test_a_batch_that_broke_off_is_finished(spark, star, tmp_path, monkeypatch):
     assert not batches.resume_batch(spark, folder, ["a", "b"], "two")
 
 
+@pytest.mark.parametrize("at", range(1, 6))
+def test_a_load_that_broke_off_between_two_renames_is_finished(spark, tmp_path, monkeypatch, at):
+    from starload.sources import batches
+
+    folder = str(tmp_path / "t")
+    for name in "ab":
+        spark.range(3).write.parquet(f"{folder}/{name}")
+    real, calls = batches._rename, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == at:
+            raise OSError("stop")
+        return real(*args)
+
+    new = {name: spark.range(5) for name in "abc"}
+    monkeypatch.setattr(batches, "_rename", failing)
+    with pytest.raises(OSError):
+        batches.switch_tables(new, folder)
+    monkeypatch.setattr(batches, "_rename", real)
+    assert batches.resume_switch(spark, folder, list(new))
+    assert [spark.read.parquet(f"{folder}/{name}").count() for name in "abc"] == [5, 5, 5]
+    assert not batches.resume_switch(spark, folder, list(new))
+
+
+def test_a_load_with_an_empty_table_leaves_the_earlier_star(spark, star, tmp_path):
+    folder = str(tmp_path / "dw")
+    d.load_star(star, folder)
+    with pytest.raises(RuntimeError, match="county_dim"):
+        d.load_star(replace(star, county=star.county.limit(0)), folder)
+    assert spark.read.parquet(f"{folder}/county_dim").count() == star.county.count()
+
+
+def test_counts_of_a_load_equal_those_of_the_stored_tables(spark, star, tmp_path):
+    folder = str(tmp_path / "dw")
+    report = d.load_star(star, folder)
+    stored = d.stored_star(spark, folder)
+    assert rows(report) == rows(unknown_report(stored["disaster_fact"], d.FACT_KEYS))
+    assert report.columns == unknown_report(stored["disaster_fact"], d.FACT_KEYS).columns
+    read = {name: table.count() for name, table in stored.items()}
+    counts = d.load_star_counts(star, folder)
+    assert {name: c["n_rows"] for name, c in counts.items()} == read
+
+
 def test_doubled_and_untidy_members_do_not_multiply_rows(star):
     untidy = star.state.withColumns(
         {"state_tk": F.col("state_tk") + 100, "state_name": F.lower("state_name")}
