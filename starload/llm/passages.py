@@ -6,6 +6,9 @@ rules ``[l, r]`` stands for all subsequences that begin in ``[l, c]`` and end in
 nodes that rule a passage of ``words`` words are kept, about ``2 n / words`` per function; these are
 the places that are smallest in some window of that width.
 
+Equal texts are one: their copies are passages of the one with the smallest id, and only that one is
+compared with others.
+
 1. Every document emits the hashes of its windows under ``FUNCTIONS`` functions.
 2. A hash met in several documents links each of them to the first (smallest id): the smallest and
    largest id per hash are aggregated (map-side combined), and the hashes are joined with them. No
@@ -19,7 +22,9 @@ the places that are smallest in some window of that width.
 4. Verification on whole texts: inside an area, runs of equal shingles are chained in text order,
    and a part of a chain of at least ``words`` words on both sides whose sets of shingles have a
    Jaccard similarity of ``similarity`` is a passage; of overlapping parts the one with most equal
-   shingles is taken. Only similarity ends a chain, no fixed gap.
+   shingles is taken. Only similarity ends a chain, no fixed gap. Pairs without a window of which
+   ``similarity / (2 - similarity)`` is shared are not looked at further, nor is what lies far from
+   such windows.
 5. Where a document meets its first but no passage covers the window, it stays open: it emits pairs
    of hashes of that window again, of the shingles that the first does not have, and is linked anew
    among the documents that failed with the same first (steps 2 to 4). What two of them have in
@@ -108,13 +113,26 @@ def hashed(marks: np.ndarray, function: int) -> np.ndarray:
     return _mixed(marks ^ np.uint64(seed))
 
 
+_SEEDS = np.array(
+    [(j + 1) * 0xD1342543DE82EF95 % 2**64 for j in range(FUNCTIONS)], np.uint64
+)[:, None]
+
+
+def all_hashed(marks: np.ndarray) -> np.ndarray:
+    """``hashed`` under every function, a row each."""
+    return _mixed(marks ^ _SEEDS)
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
+    """Along the last axis."""
     size = 1
     while 2 * size <= width:
-        values = np.minimum(values[:-size], values[size:])
+        values = np.minimum(values[..., :-size], values[..., size:])
         size *= 2
     rest = width - size
-    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
+    if not rest:
+        return values
+    return np.minimum(values[..., : values.shape[-1] - rest], values[..., rest:])
 
 
 def window_keys(marks: np.ndarray, width: int) -> np.ndarray:
@@ -135,8 +153,7 @@ def _joined(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 def placed_keys(marks: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, places): the ``window_keys`` and where they stand."""
     keys, places = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for j in range(FUNCTIONS):
-        values = hashed(marks, j)
+    for j, values in enumerate(all_hashed(marks)):
         at, _ = ruling_places(values, width)
         keys.append((values[at] & ~np.uint64(7)) | np.uint64(j))
         places.append(at)
@@ -160,39 +177,83 @@ def near_keys(ids: np.ndarray, places: np.ndarray, keys: np.ndarray, width: int)
     return np.concatenate(owners), np.concatenate(pairs)
 
 
+_PAIRS = np.array([(i, j) for i in range(FUNCTIONS) for j in range(i + 1, FUNCTIONS)])
+
+
 def open_keys(
-    marks: np.ndarray, other: np.ndarray, had: np.ndarray, found: list[tuple], width: int, path: int
+    marks: np.ndarray, shared: np.ndarray, had: np.ndarray, found: list[tuple], width: int, path: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """(keys, which shingles are had): pairs of hashes of the windows that ``ENOUGH`` hashes
-    link to ``other`` outside the passages ``found``, by preference of shingles that no first
-    document had."""
-    shared = np.isin(marks, other)
-    now = had | shared
+    link to the other text outside the passages ``found``, by preference of shingles that no first
+    document had. ``shared`` says which shingles the other text has."""
+    now, whole = had | shared, had | shared
     if len(marks) < width or not shared.any():
-        return np.empty(0, np.int64), now
-
-    again = np.zeros(len(marks) - width + 1, np.int64)
-    last, low = had.astype(np.uint64) << np.uint64(63), np.uint64(2**63 - 1)
-    for j in range(FUNCTIONS):
-        heads = sliding_minimum((hashed(marks, j) >> np.uint64(1)) | last, width) & low
-        again += np.isin(heads, hashed(marks[shared], j) >> np.uint64(1))
-    again = again >= ENOUGH
+        return np.empty(0, np.int64), whole
+    places = np.flatnonzero(shared)
+    near = slice(max(0, int(places[0]) - width), int(places[-1]) + width + 1)
+    if near.start or near.stop < len(marks):
+        marks, shared, had, now = marks[near], shared[near], had[near], now[near]
+        found = [(max(0, f[0] - near.start), f[1] - near.start) for f in found if f[1] > near.start]
+    if len(marks) < width:
+        return np.empty(0, np.int64), whole
+
+    low, top = np.uint64(2**63 - 1), np.uint64(2**64 - 1)
+    halves = all_hashed(marks) >> np.uint64(1)
+    ranked = halves | (had.astype(np.uint64) << np.uint64(63))
+    heads = sliding_minimum(ranked, width)
+    # A window's smallest shingle is a shared one if the smallest shared one is as small.
+    again = (heads == sliding_minimum(np.where(shared, ranked, top), width)).sum(0) >= ENOUGH
     for start, end, *_ in found:
         again[start : max(start, end - (SHINGLE - 1) - width + 1)] = False
     if not again.any():
-        return np.empty(0, np.int64), now
-    last = now.astype(np.uint64) << np.uint64(63)
-    heads = [
-        (sliding_minimum((hashed(marks, j) >> np.uint64(1)) | last, width)[again] & low)
-        for j in range(FUNCTIONS)
-    ]
-    seed = np.uint64(path % 2**64)
-    keys = [
-        np.unique(_joined(_joined(heads[i], heads[j]), np.uint64(FUNCTIONS * i + j) ^ seed))
-        for i in range(FUNCTIONS)
-        for j in range(i + 1, FUNCTIONS)
+        return np.empty(0, np.int64), whole
+    ranked = halves | (now.astype(np.uint64) << np.uint64(63))
+    heads = np.unique(sliding_minimum(ranked, width)[:, again] & low, axis=1)
+    which = (FUNCTIONS * _PAIRS[:, :1] + _PAIRS[:, 1:]).astype(np.uint64)
+    pairs = _joined(heads[_PAIRS[:, 0]], heads[_PAIRS[:, 1]])
+    return np.unique(_joined(pairs, which ^ np.uint64(path % 2**64))).view(np.int64), whole
+
+
+def dense_part(shared: np.ndarray, width: int, similarity: float) -> slice | None:
+    """Where passages of ``width`` shingles can be, or None: around the windows of that width of
+    which at least ``similarity / (2 - similarity)`` are shared.
+
+    A similar part of s shingles has at least ``similarity * s`` shared ones, so its first window lacks
+    at most ``(1 - similarity) * s``, and one of the windows that cover it has its share of them: some
+    window is that dense. What a part has beyond its dense windows is less dense, and so is at
+    most ``(1 - similarity) / (similarity - least share)`` times as long as what lies between them.
+    """
+    share = similarity / (2 - similarity)
+    if len(shared) < width or not shared.any():
+        return None
+    sums = np.r_[0, np.cumsum(shared)]
+    dense = np.flatnonzero(sums[width:] - sums[:-width] >= width * share - 1e-9)
+    if not len(dense):
+        return None
+    low, high = int(dense[0]), int(dense[-1]) + width
+    beyond = similarity - share
+    more = width + (int((1 - similarity) / beyond * (high - low)) + 1 if beyond else len(shared))
+    return slice(max(0, low - more), high + more)
+
+
+def verified(
+    mine: np.ndarray, other: np.ndarray, shared: np.ndarray, words: int, similarity: float
+) -> list[tuple[int, int, int, int, float]]:
+    """``shared_passages`` of two whole texts; ``shared`` says which of ``mine`` the other has."""
+    width = words - SHINGLE + 1
+    if len(mine) == len(other) and np.array_equal(mine, other):
+        return shared_passages(mine, other, words, similarity)
+    part = dense_part(shared, width, similarity)
+    if part is None:
+        return []
+    own = mine[part]
+    there = np.flatnonzero(np.isin(other, own[shared[part]]))
+    low = max(0, int(there[0]) - width)
+    found = shared_passages(own, other[low : int(there[-1]) + width + 1], words, similarity)
+    return [
+        (s + part.start, e + part.start, s_b + low, e_b + low, share)
+        for s, e, s_b, e_b, share in found
     ]
-    return np.unique(np.concatenate(keys)).view(np.int64), now
 
 
 def ruling_places(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,8 +301,7 @@ def windows_of(marks: np.ndarray, width: int, among: Windows | None = None) -> W
     """Per function, where the windows of each smallest hash lie; ``among``: of the hashes that
     another text has too."""
     found: Windows = []
-    for j in range(FUNCTIONS):
-        values = hashed(marks, j)
+    for j, values in enumerate(all_hashed(marks)):
         places, keys = ruling_places(values, width)
         heads = values[places].tolist()
         own: dict[int, list[tuple[int, int]]] = {}
@@ -470,15 +530,17 @@ def repeated_passages(
 ) -> DataFrame:
     """doc_id, start, end, other_id, other_start, other_end (in words), similarity."""
     width = words - SHINGLE + 1
-    texts = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     )
+    texts, copies = _distinct_texts(rows, words)
     pairs = _first_pairs(texts, width)
-    passages, rows = [], None
+    passages, rows, done = [copies], None, []
     while rows is None or not pairs.isEmpty():
         rows = materialize(_verified(pairs, texts, words, similarity), "passages")
         passages.append(rows.where("start is not null").select(*_RESULT.names))
-        pairs = _open_pairs(rows.where("start is null"))
+        done.append(pairs.select("id", "row", "first"))
+        pairs = _open_pairs(rows.where("start is null"), reduce(DataFrame.unionByName, done))
     return reduce(DataFrame.unionByName, passages).distinct()
 
 
@@ -501,6 +563,28 @@ _VERIFIED = StructType(
 )
 
 
+def _distinct_texts(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(one row per text, that of the smallest id; the passages that its copies are)."""
+    count = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+    sizes = rows.select("id", F.unhex(F.sha2("text", 256)).alias("sha"), count.alias("n"))
+    sizes = materialize(sizes.where(F.col("n") >= words), "sizes")
+    firsts = sizes.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    repeated = materialize(firsts.where("first < last").select("sha", "first"), "copied")
+    zero = F.lit(0).cast("long")
+    copies = sizes.join(repeated, "sha").where("id <> first").select(
+        F.col("id").alias("doc_id"), zero.alias("start"), F.col("n").alias("end"),
+        F.col("first").alias("other_id"), zero.alias("other_start"), F.col("n").alias("other_end"),
+        F.lit(1.0).alias("similarity"),
+    )
+    copies = materialize(copies.distinct(), "copies")
+    gone = sizes.join(repeated, "sha").where("id <> first").select("id", "sha").distinct()
+    gone = materialize(gone, "gone")
+    if gone.isEmpty():
+        return rows, copies
+    keyed = rows.where(count >= words).withColumn("sha", F.unhex(F.sha2("text", 256)))
+    return materialize(keyed.join(gone, ["id", "sha"], "left_anti").drop("sha"), "texts"), copies
+
+
 def _repeated(keys: DataFrame) -> DataFrame:
     """(key, first) of the keys of several documents."""
     first = keys.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -555,14 +639,19 @@ def _first_pairs(texts: DataFrame, width: int) -> DataFrame:
     return materialize(pairs, "pairs")
 
 
-def _open_pairs(rows: DataFrame) -> DataFrame:
-    """The next links of what is open, among those that have met the same firsts."""
+def _open_pairs(rows: DataFrame, done: DataFrame) -> DataFrame:
+    """The next links of what is open, among those that have met the same firsts. Each pair is
+    verified once: a document that meets a first again goes on from where it met it before."""
     rows = rows.withColumnRenamed("doc_id", "id").select("id", "row", "path", "had", "keys")
     keys = rows.select("id", "row", "path", F.explode("keys").alias("key"))
     links = keys.join(_repeated(keys), "key").where("id <> first")
     links = links.select("id", "row", "path", "first").distinct()
+    links = links.groupBy("id", "row", "first").agg(F.min("path").alias("path"))
+    met = done.toDF("_id", "_row", "_first")
+    same = (F.col("id") == F.col("_id")) & (F.col("first") == F.col("_first"))
+    new = links.join(met, same & (F.col("_row").isNull() | (F.col("row") == F.col("_row"))), "left_anti")
     had = rows.select("id", "row", "path", "had").dropDuplicates(["id", "row", "path"])
-    return materialize(links.join(had, ["id", "row", "path"]), "pairs")
+    return materialize(new.join(had, ["id", "row", "path"]), "pairs")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -578,21 +667,23 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last, other, there = WordHashes(), None, None, None
+        known, last, other, ordered = WordHashes(), None, None, None
         for batch in batches:
             rows = []
             for doc, partner, own, text, row, path, had in zip(*batch.columns):
                 text, doc, path = text.as_py(), doc.as_py(), path.as_py()
                 if text != last:
                     last, other = text, shingles(text, known)
-                    there = windows_of(other, width)
+                    ordered = np.unique(other)
                 mine = shingles(own.as_py(), known)
-                found = shared_passages(mine, other, words, similarity, there)
+                place = np.minimum(np.searchsorted(ordered, mine), max(len(ordered) - 1, 0))
+                shared = ordered[place] == mine if len(ordered) else np.zeros(len(mine), bool)
+                found = verified(mine, other, shared, words, similarity)
                 for s, e, s_b, e_b, share in found:
                     rows.append((doc, s, e, partner.as_py(), s_b, e_b, share, *[None] * 4))
                 before = np.frombuffer(had.as_py() or bytes(len(mine) // 8 + 1), np.uint8)
                 before = np.unpackbits(before, count=len(mine)).astype(bool)
-                keys, now = open_keys(mine, other, before, found, width, path)
+                keys, now = open_keys(mine, shared, before, found, width, path)
                 if len(keys):
                     now = np.packbits(now).tobytes()
                     rows.append((doc, *[None] * 6, row.as_py(), path, now, keys))
