@@ -18,9 +18,8 @@ equals best-fit decreasing over the single pieces.
 
 Defined cases: a null text counts as empty and gives the end token alone; a null id, repeated ids
 and repeated rows are packed like any row; an empty table gives an empty result; other columns of
-the input are not read. The characters of a special token ("<|endoftext|>") in a text are encoded
-like any others, as the tokenizer file does with ``encode_special_tokens``, so that no text can
-write a control token.
+the input are not read. Where a text contains the characters of a special token ("<|endoftext|>"),
+they are that token's one id, as in the tokenizer file at its defaults, and part the text.
 """
 
 from __future__ import annotations
@@ -28,7 +27,7 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +49,8 @@ CAPACITY = 1024
 END = 2
 #: The ranks of byte_bpe_50k.json: the same ids, of which a word not seen before costs a third.
 VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The special tokens of that tokenizer file, which a file of ranks does not list.
+SPECIAL = {"<|endoftext|>": 50256}
 #: Words whose ids one task remembers.
 KNOWN_WORDS = 200_000
 
@@ -66,7 +67,6 @@ def load_encoder(vocabulary: str):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
         return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     import base64
 
@@ -91,9 +91,14 @@ class WordIds(dict):
     such spaces. Merges do go across a space beside other whitespace (a no-break space).
     """
 
-    def __init__(self, encode, limit: int = KNOWN_WORDS):
+    def __init__(
+        self, encode, limit: int = KNOWN_WORDS, special: Mapping[str, int] = SPECIAL
+    ):
         super().__init__()
         self.encode, self.limit = encode, limit
+        self.special = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
+        longest = sorted(special, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if special else None
 
     def __missing__(self, word: str) -> bytes:
         ids = np.array(self.encode(" " + word), "<u4").tobytes()
@@ -104,6 +109,13 @@ class WordIds(dict):
         return ids
 
     def text(self, text: str) -> bytes:
+        if any(map(text.__contains__, self.special)):
+            parts = self.marks.split(text)
+            return b"".join(self.special.get(part) or self.plain(part) for part in parts if part)
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """The ids of a text without special tokens."""
         if _BESIDE.search(text):
             first, *words = _BETWEEN.split(text)
         else:
@@ -120,6 +132,7 @@ def pieces(
     vocabulary: str = VOCABULARY,
     end: int = END,
     keep_ids: bool = False,
+    special: Mapping[str, int] = SPECIAL,
 ) -> DataFrame:
     """(id, piece, start, length, ids_crc32[, ids]) of every document, the end token included."""
     fields = [
@@ -133,7 +146,7 @@ def pieces(
         fields.append(StructField("ids", ArrayType(IntegerType())))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordIds(load_encoder(vocabulary))
+        known = WordIds(load_encoder(vocabulary), special=special)
         stop = np.array([end], "<u4").tobytes()
         for batch in batches:
             owner, piece, start, length, crc, kept = [], [], [], [], [], []
@@ -225,10 +238,11 @@ def pack(
     vocabulary: str = VOCABULARY,
     end: int = END,
     keep_ids: bool = False,
+    special: Mapping[str, int] = SPECIAL,
 ) -> DataFrame:
     """The pieces of ``df`` with ``sequence_id`` and ``offset``."""
     spark = df.sparkSession
-    cut = pieces(df, id_col, text_col, capacity, vocabulary, end, keep_ids)
+    cut = pieces(df, id_col, text_col, capacity, vocabulary, end, keep_ids, special)
     cut = materialize(cut.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     placed = dense_key(cut, ["length"], "_rank", start=0, ties=["_row"], label="ranked")
     counts = {r["length"]: r["count"] for r in placed.groupBy("length").count().collect()}

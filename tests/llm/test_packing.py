@@ -14,7 +14,6 @@ from starload.llm.packing import WordIds, best_fit, load_encoder, pack
 @pytest.fixture(scope="module")
 def encode():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -33,9 +32,9 @@ def test_words_give_the_ids_of_the_whole_text(encode):
 
 
 def test_ranks_give_the_same_ids(encode):
-    ranks = load_encoder("byte_bpe_50k.tiktoken")
+    ranks = WordIds(load_encoder("byte_bpe_50k.tiktoken"))
     for text in ODD:
-        assert ranks(text) == encode(text)
+        assert np.frombuffer(ranks.text(text), "<u4").tolist() == encode(text)
 
 
 def classic(lengths, capacity):
@@ -105,7 +104,7 @@ def test_empty_table(spark):
 
 
 def test_no_cut_beside_other_whitespace():
-    """Against the tokenizer file at its defaults; a special token in a text stays plain."""
+    """Against the tokenizer file at its defaults."""
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
     def whole(text):
@@ -116,6 +115,16 @@ def test_no_cut_beside_other_whitespace():
     known = WordIds(load_encoder("byte_bpe_50k.tiktoken"))
     for text in ["a \xa0 \xa0 b", "a" + " \xa0" * 8 + " b", "a\xa0 \xa0 b", " \xa0 \xa0 "] + mixed:
         assert np.frombuffer(known.text(text), "<u4").tolist() == whole(text), text
-    plain = np.frombuffer(known.text("a <|endoftext|> b"), "<u4").tolist()
-    assert 50256 in whole("a <|endoftext|> b") and 50256 not in plain
-    assert tokenizer.decode(plain) == "a <|endoftext|> b"
+
+
+def test_special_tokens_in_a_text(encode):
+    """The one id of the tokenizer file at its defaults, in which it parts the text."""
+    known = WordIds(load_encoder("byte_bpe_50k.tiktoken"))
+    assert np.frombuffer(known.text("a<|endoftext|>b"), "<u4").tolist() == [64, 50256, 65]
+    rng = random.Random(8)
+    parts = ["<|endoftext|>", "<|endoftext|", "<|", "|>", "a", " ", "b c", "\n", "\xa0", "don't"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 8)))
+        assert np.frombuffer(known.text(text), "<u4").tolist() == encode(text), text
+    none = WordIds(load_encoder("byte_bpe_50k.tiktoken"), special={})
+    assert 50256 not in np.frombuffer(none.text("a<|endoftext|>b"), "<u4")
