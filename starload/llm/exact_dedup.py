@@ -10,7 +10,8 @@ bounds what is broadcast. Beyond that bound more rows shuffle; the result stays
 
 Defined cases: a null text counts as empty, all empty and all-blank texts are equal; of equal rows
 a null id loses to any id; rows that repeat with their id are one group of which one row stays.
-An empty table gives an empty result. Other columns of the input are not touched or read.
+Ids may be of any type that can be ordered. An empty table gives an empty result. Other columns of
+the input are not touched or read.
 """
 
 from __future__ import annotations
@@ -103,12 +104,12 @@ def exact_groups(
     )
     bloom, blocks = repeated_filter(hashes, "sha", bits_per_row, max_bits)
     flagged = maybe_repeated(hashes, "sha", bloom, blocks, "maybe")
-    best = F.struct("n", F.expr("id is not null"), -F.col("id"), -F.col("row"))
+    order = F.struct(-F.col("n"), F.col("id").isNull(), "id", "row")
     groups = (
         flagged.where("maybe")
         .groupBy("sha")
         .agg(
-            F.max_by(F.struct("id", "row"), best).alias("best"), F.count(F.lit(1)).alias("size")
+            F.min_by(F.struct("id", "row"), order).alias("best"), F.count(F.lit(1)).alias("size")
         )
         .where("size > 1")
     )
@@ -153,12 +154,12 @@ def drop_exact_copies(
     )
     hashes = materialize(wide.select("_sha", "_n", "_id"), "hashes")
     bloom, blocks = repeated_filter(hashes, "_sha", bits_per_row, max_bits)
-    best = F.struct("_n", F.expr("_id is not null"), -F.col("_id"))
+    order = F.struct(-F.col("_n"), F.col("_id").isNull(), "_id")
     winners = (
         maybe_repeated(hashes, "_sha", bloom, blocks, "_maybe")
         .where("_maybe")
         .groupBy("_sha")
-        .agg(F.max_by(F.struct("_n", "_id"), best).alias("w"))
+        .agg(F.min_by(F.struct("_n", "_id"), order).alias("w"))
         .select("_sha", F.col("w._n").alias("w_n"), F.col("w._id").alias("w_id"))
     )
     winners = materialize(winners, "winners")

@@ -45,6 +45,18 @@ def test_kept_rows_keep_all_columns(spark):
     assert kept.count() == groups.where("kept").count()
 
 
+def test_ids_of_any_type(spark):
+    low = -(2**63)
+    df = docs(spark, [(low, "a b"), (5, "ab"), (low, "c"), (3, "c "), (-7, "d"), (2**63 - 1, " d")])
+    for kind in ("long", "string", "decimal(20,0)"):
+        typed = df.withColumn("doc_id", df.doc_id.cast(kind))
+        got = {(int(r["doc_id"]), int(r["keep_id"])) for r in exact_groups(typed).collect()}
+        top = 2**63 - 1
+        assert got == {(low, low), (5, low), (low, 3), (3, 3), (-7, top), (top, top)}
+        kept = sorted(int(r["doc_id"]) for r in drop_exact_copies(typed).collect())
+        assert kept == [low, 3, top]
+
+
 def test_empty_table(spark):
     df = docs(spark, EDGES).limit(0)
     assert exact_groups(df).count() == 0
