@@ -58,7 +58,7 @@ def test_base_spans_are_those_of_the_patterns():
 
 
 def test_long_runs_stay_linear():
-    for unit in ("1", "a", "1.", "1 ", "+", "+1(", "@", "a@", "a.", "iban 1", "http://"):
+    for unit in ("1", "a", "1.", "1 ", "+", "+1(", "@", "a@", "a.", "iban 1", "http://", "Road ", "A ", "5 A Street ", "A Weg ", "DE89 ", "1 rue "):
         scan(unit * (200_000 // len(unit)), anchors())
 
 
@@ -81,9 +81,37 @@ def test_what_the_cues_add():
     ]
 
 
+def test_addresses_of_four_languages():
+    for before in ("", "wohnt in ", "he lives at ", "à l'adresse: "):
+        for after in ("", ".", ", and", " x", "\n"):
+            for address in (
+                "12 Martin Luther King Jr Boulevard", "5 Main St", "221B Baker Street", "12 5th Avenue",
+                "1600 Pennsylvania Ave", "Musterstraße 12, 10115 Berlin", "Hauptstr. 5", "Lange Gasse 7a",
+                "Königsallee 92", "Karl-Marx-Allee 3", "12 rue de la Paix", "8 bis avenue Victor Hugo",
+                "3, place de l'Opéra", "Calle de Alcalá, 42", "Calle Mayor 5",
+                "Avenida de la Constitución 3", "Plaza Mayor 1",
+            ):
+                text = before + address + after
+                got = [text[a:b].rstrip(".") for a, b, k in scan(text, anchors()) if k == "address"]
+                assert got == [address], text
+
+
+def test_accounts_without_a_cue():
+    for iban in ("DE89370400440532013000", "GB29 NWBK 6016 1331 9268 19", "FR1420041010050500013M02606"):
+        for text in (iban, f"pay {iban} now", f"({iban}) ABC"):
+            assert [text[a:b] for a, b, k in scan(text, anchors()) if k == "account"] == [iban]
+    wrong = ("DE89370400440532013001", "XDE89370400440532013000", "DE8937040044053201300", "DE893704004405320130001")
+    for text in wrong:
+        assert not [s for s in scan(text, anchors()) if s[2] == "account"]
+
+
 def test_clean_text_has_no_spans():
-    for text in ("tokens of the account, a street", "a password is a secret", "3 roads at 5 pm @ 7"):
-        assert scan(text, anchors()) == []
+    for text in (
+        "tokens of the account, a street", "a password is a secret", "3 roads at 5 pm @ 7",
+        "auf dem weg 5 Minuten", "Platz 3", "in 2 place", "the Road 5", "rue de la Paix", "calle 5",
+        "12 old mill road", "st 5", "Musterstraße", "5 Main Stone",
+    ):
+        assert scan(text, anchors()) == [], text
 
 
 def test_digests(spark):
