@@ -20,6 +20,7 @@ def clashing(df: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
     names = "sha key fp id row size n kept piece start length _row _sha _rank root u v s bits block"
+    names += " _language _train _toxic _gone _copy _p _place _number shard slot weight score rank"
     return df.select("*", *[F.lit("x").alias(n) for n in names.split()])
 
 

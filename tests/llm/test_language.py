@@ -1,9 +1,10 @@
+import math
 import random
 
 import numpy as np
 from helpers import EDGES, SCHEMA, clashing, docs
 
-from starload.llm.language import Model, codewords, identify, ngrams, train
+from starload.llm.language import FEATURES, SCALE, Model, codewords, identify, ngrams, train
 from starload.llm.text import fold
 
 SYLLABLES = {
@@ -82,3 +83,72 @@ def test_nothing_or_one_language_learned(spark):
         assert isinstance(model, Model)
         assert {r["language"]["lang_pred"] for r in identify(df, model).collect()} == {want, "und"}
     assert identify(df.limit(0), model).count() == 0
+
+
+def brute_features(text):
+    """Feature numbers of all n-grams, one at a time."""
+    raw = [b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode()]
+    found = []
+    for n in (1, 2, 3):
+        for i in range(len(raw) - n + 1):
+            gram, code = raw[i : i + n], 0
+            for b in gram:
+                code = (code * 257 + b + 1) % 2**32
+            mixed = code * 2654435761 % 2**32
+            mixed ^= mixed >> 15
+            found.append(0 if set(gram) == {32} else 1 + mixed % (FEATURES - 1))
+    return found
+
+
+def brute_decoder(rows):
+    """``decode(text)``: learns one classifier per bit and tries every codeword."""
+    languages = sorted({lang for _, lang in rows})
+    counts = [[0.5] * FEATURES for _ in languages]
+    for text, lang in rows:
+        for f in brute_features(text):
+            counts[languages.index(lang)][f] += f > 0
+    share = [[n / sum(own) for n in own] for own in counts]
+    code = codewords(len(languages)).tolist()
+    bits = range(len(code[0]))
+    weights = []
+    for bit in bits:
+        up, down = ([s for s, row in zip(share, code) if row[bit] == side] for side in (1, -1))
+        weights.append(
+            [0.0]
+            + [
+                math.log(sum(s[f] for s in up) / len(up)) - math.log(sum(s[f] for s in down) / len(down))
+                for f in range(1, FEATURES)
+            ]
+        )
+    reach = [
+        min(row[bit] * sum(a * b for a, b in zip(s, weights[bit])) for s, row in zip(share, code))
+        for bit in bits
+    ]
+    trust = [max(r, 0.05) for r in reach]
+    trust = [t * len(trust) / sum(trust) for t in trust]
+
+    def decode(text):
+        if not text or not any(c.isalpha() for c in text):
+            return "und", 0.0
+        found = brute_features(text)
+        n = max(sum(f > 0 for f in found), 1)
+        margins = [SCALE * sum(w[f] for f in found) / n for w in weights]
+        losses = [
+            sum(t * math.log1p(math.exp(-c * m)) for t, c, m in zip(trust, row, margins)) for row in code
+        ]
+        near = [math.exp(min(losses) - loss) for loss in losses]
+        best = losses.index(min(losses))
+        return languages[best], near[best] / sum(near)
+
+    return decode
+
+
+def test_decoder_against_brute_force(spark):
+    langs = ["en", "de", "fr", "es", "it", "pl"]
+    learned = corpus(spark, langs, 12, seed=3)
+    decode = brute_decoder([(r["text"], r["lang"]) for r in learned.collect()])
+    texts = [r["text"] for r in corpus(spark, langs, 4, seed=4).collect()] + ["", None, "12 ?", "ß", "le der"]
+    for r in identify(docs(spark, texts), train(learned)).collect():
+        lang, score = decode(r["text"])
+        assert r["language"]["lang_pred"] == lang
+        assert abs(r["language"]["score"] - score) < 1e-3
