@@ -19,9 +19,12 @@ from starload.tables import materialize
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language and those whose language is ambiguous."""
     model = train(docs.where(fold("doc_id", 4) != 2))
-    found = identify(docs, model, into="_language")
-    clear = (F.col("_language.lang_pred") != UNKNOWN) & ~F.col("_language.ambiguous")
-    return found.where(clear).drop("_language")
+    into = "_language"
+    while into in docs.columns:
+        into = f"_{into}"
+    found = identify(docs, model, into=into)
+    clear = (F.col(f"{into}.lang_pred") != UNKNOWN) & ~F.col(f"{into}.ambiguous")
+    return found.where(clear).drop(into)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
