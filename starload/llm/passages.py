@@ -530,11 +530,11 @@ def repeated_passages(
 ) -> DataFrame:
     """doc_id, start, end, other_id, other_start, other_end (in words), similarity."""
     width = words - SHINGLE + 1
-    rows = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+    texts = df.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")
     )
-    texts, copies = _distinct_texts(rows, words)
-    pairs = _first_pairs(texts, width)
+    copies, gone = _copied(texts, words)
+    pairs = _first_pairs(texts, gone, width)
     passages, rows, done = [copies], None, []
     while rows is None or not pairs.isEmpty():
         rows = materialize(_verified(pairs, texts, words, similarity), "passages")
@@ -563,26 +563,23 @@ _VERIFIED = StructType(
 )
 
 
-def _distinct_texts(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """(one row per text, that of the smallest id; the passages that its copies are)."""
+def _copied(rows: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """(the passages that copies of whole texts are, the ids that stand for such copies only)."""
     count = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     sizes = rows.select("id", F.unhex(F.sha2("text", 256)).alias("sha"), count.alias("n"))
     sizes = materialize(sizes.where(F.col("n") >= words), "sizes")
     firsts = sizes.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     repeated = materialize(firsts.where("first < last").select("sha", "first"), "copied")
-    zero = F.lit(0).cast("long")
-    copies = sizes.join(repeated, "sha").where("id <> first").select(
+    zero, is_copy = F.lit(0).cast("long"), F.coalesce(F.col("id") != F.col("first"), F.lit(False))
+    marked = sizes.join(repeated, "sha", "left").withColumn("is_copy", is_copy)
+    marked = materialize(marked.select("id", "n", "first", "is_copy"), "marked")
+    copies = marked.where("is_copy").select(
         F.col("id").alias("doc_id"), zero.alias("start"), F.col("n").alias("end"),
         F.col("first").alias("other_id"), zero.alias("other_start"), F.col("n").alias("other_end"),
         F.lit(1.0).alias("similarity"),
     )
-    copies = materialize(copies.distinct(), "copies")
-    gone = sizes.join(repeated, "sha").where("id <> first").select("id", "sha").distinct()
-    gone = materialize(gone, "gone")
-    if gone.isEmpty():
-        return rows, copies
-    keyed = rows.where(count >= words).withColumn("sha", F.unhex(F.sha2("text", 256)))
-    return materialize(keyed.join(gone, ["id", "sha"], "left_anti").drop("sha"), "texts"), copies
+    only = marked.groupBy("id").agg(F.min("is_copy").alias("only")).where("only").select("id")
+    return copies.distinct(), materialize(only, "gone")
 
 
 def _repeated(keys: DataFrame) -> DataFrame:
@@ -591,8 +588,9 @@ def _repeated(keys: DataFrame) -> DataFrame:
     return materialize(first.where("first < last").select("key", "first"), "repeated")
 
 
-def _first_pairs(texts: DataFrame, width: int) -> DataFrame:
-    """(id, row, path, had, first): all texts of an id, no first met before."""
+def _first_pairs(texts: DataFrame, gone: DataFrame, width: int) -> DataFrame:
+    """(id, row, path, had, first): all texts of an id, no first met before. Ids that are ``gone``
+    stand for copies of smaller ids, so none of them is a first."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -623,7 +621,8 @@ def _first_pairs(texts: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], names=["key", "id"])
 
     windows = materialize(texts.mapInArrow(emit, "key long, id long, at int"), "windows")
-    met = materialize(windows.join(_repeated(windows), "key"), "met")
+    met = windows.join(_repeated(windows), "key").join(gone, "id", "left_anti")
+    met = materialize(met, "met")
     several = (
         met.where("id <> first")
         .groupBy("id", "first")
