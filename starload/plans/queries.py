@@ -828,7 +828,7 @@ def _loaded_star(
     """A stored star of the historical half and half of the increment: its folder, its number of
     fact rows, the other half of the increment, and what tells declarations apart."""
     types = roles.disaster(spark, sf_dir)
-    historical, increment = roles.halves(spark, sf_dir)
+    historical, increment = roles.halves(spark, sf_dir, written=True)
     first, later = (
         roles.untidy(roles.flat(spark, sf_dir, increment.where(half), types))
         for half in ("id % 2 = 0", "id % 2 = 1")

@@ -120,9 +120,18 @@ def declaration(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def halves(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Declarations as (historical 80 %, increment 20 %), both read from one written copy."""
-    rows = materialize(declaration(spark, sf_dir), "declaration")
+def halves(
+    spark: SparkSession, sf_dir: str, written: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Declarations as (historical 80 %, increment 20 %).
+
+    Each is a filter on the key, which Spark pushes below the join that makes declarations, together
+    with the columns that are read. ``written`` has both read from one copy: for callers that read
+    them whole and more than once.
+    """
+    rows = declaration(spark, sf_dir)
+    if written:
+        rows = materialize(rows, "declaration")
     increment, historical = split_hash(rows, ["id"], INCREMENT, SPLIT_SEED)
     return historical, increment
 
