@@ -1,4 +1,6 @@
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 from helpers import EDGES, clashing, docs
@@ -177,3 +179,26 @@ def test_passages_near_repeats_and_edits():
         found = shared_passages(*(shingles(" ".join(t), known) for t in (a, b)))
         assert [(s, e) for s, e, *_ in found] == [(60, 60 + size)]
         assert found[0][4] >= 0.8
+
+
+def shuffled(spark):
+    """Bytes of the shuffle files that are on disk."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    folders = [Path(str(f)) for f in blocks.diskBlockManager().localDirs()]
+    return sum(f.stat().st_size for d in folders for f in d.glob("*/shuffle_*") if f.exists())
+
+
+def test_no_shuffle_outlives_the_step_that_made_it(spark):
+    rng = random.Random(14)
+    shared = prose(rng, 70)
+    texts = [prose(rng, 200) + shared * (i % 2) + prose(rng, 200) for i in range(60)]
+    df = docs(spark, [" ".join(t) for t in texts])
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    setting, before = spark.conf.get(name, None), shuffled(spark)
+    rows = repeated_passages(df)
+    until = time.time() + 10  # files go in the background
+    while shuffled(spark) > before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled(spark) <= before
+    assert spark.conf.get(name, None) == setting
+    assert {(i, 1) for i in range(3, 60, 2)} <= {(r["doc_id"], r["other_id"]) for r in rows.collect()}
