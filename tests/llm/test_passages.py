@@ -14,6 +14,7 @@ from starload.llm.passages import (
     sliding_minimum,
     window_keys,
 )
+from starload.tables import run_folder
 
 
 def prose(rng, n):
@@ -188,6 +189,17 @@ def shuffled(spark):
     return sum(f.stat().st_size for d in folders for f in d.glob("*/shuffle_*") if f.exists())
 
 
+def test_tables_of_windows_are_removed_when_the_pairs_are_made(spark):
+    rng = random.Random(15)
+    shared = prose(rng, 70)
+    texts = [prose(rng, 80) + shared + prose(rng, 80) for _ in range(6)]
+    before = set(Path(run_folder(spark).removeprefix("file:")).glob("*"))
+    rows = repeated_passages(docs(spark, [" ".join(t) for t in texts]))
+    left = set(Path(run_folder(spark).removeprefix("file:")).glob("*")) - before
+    assert {f.name.split("-")[0] for f in left} == {"copied", "marked", "gone", "pairs", "texts", "passages"}
+    assert {(i, 0) for i in range(1, 6)} <= {(r["doc_id"], r["other_id"]) for r in rows.collect()}
+
+
 def test_no_shuffle_outlives_the_step_that_made_it(spark):
     rng = random.Random(14)
     shared = prose(rng, 70)
