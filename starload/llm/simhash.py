@@ -152,7 +152,10 @@ def _tied(block: pd.DataFrame, distance: int) -> pd.DataFrame:
 
 def links(distinct: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) -> DataFrame:
     """Edges (u, v) between the distinct fingerprints ``fp`` that connect all those within
-    ``distance`` bits of each other. Light keys give every link, heavy ones a spanning set."""
+    ``distance`` bits of each other. Light keys give every link, heavy ones a spanning set.
+
+    Spark sizes what ``explode`` makes by the fingerprints before it, so it would broadcast all
+    keys of a middling table; the join of the keys asks for a merge."""
     if distance == 0:
         return distinct.select(F.col("fp").alias("u"), F.col("fp").alias("v")).limit(0)
     fp = F.col("fp")
@@ -164,7 +167,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) ->
     light = (
         index.join(dense, "key", "left_anti")
         .withColumnRenamed("fp", "a")
-        .join(probe.withColumnRenamed("fp", "b"), "key")
+        .join(probe.withColumnRenamed("fp", "b").hint("merge"), "key")
         .where((a < b) & _chains(a.bitwiseXOR(b), F.col("key"), distance))
         .select(a.alias("u"), b.alias("v"))
     )

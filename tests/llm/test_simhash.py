@@ -1,8 +1,10 @@
 import random
+import re
 
 import xxhash
 from helpers import EDGES, clashing, docs
 
+from starload.llm import simhash as module
 from starload.llm.simhash import fingerprints, links, near_groups, simhash
 
 
@@ -100,6 +102,24 @@ def test_heavy_keys_lose_nothing(spark):
     assert len(set(edges)) < 20_000
 
 
+def test_exploded_keys_are_not_broadcast(spark, plan, monkeypatch):
+    plans, write = {}, module.materialize
+
+    def kept(df, label="table"):
+        plans[label] = plan(df)
+        return write(df, label)
+
+    monkeypatch.setattr(module, "materialize", kept)
+    fps = near_fingerprints(9, 100, 5)
+    df = write(spark.createDataFrame([(f,) for f in fps], "fp long"))
+    edges = [tuple(r) for r in links(df, 4).collect()]
+    assert linked(edges, fps) == brute_groups(fps, 4)
+    # Few fingerprints, so Spark would take each side for small; the keys without "dense" have no
+    # size of their own.
+    assert "SortMergeJoin" in plans["links"]
+    assert not re.search(r"BroadcastHashJoin [^\n]*Inner", plans["links"])
+
+
 def test_groups_of_documents(spark):
     rng = random.Random(1)
     base = [rng.choice("abcdefghijklmnop") + str(rng.randrange(50)) for _ in range(400)]
