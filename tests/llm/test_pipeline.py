@@ -1,8 +1,10 @@
 import random
+import re
 
 import corpus_pipeline
 from helpers import clashing, docs
 
+from starload.llm import components, exact_dedup, mixing, simhash
 from starload.llm.exact_dedup import exact_groups
 from starload.llm.mixing import mix_table
 from starload.llm.packing import pack
@@ -41,6 +43,39 @@ def test_each_stage_on_what_the_last_one_kept(spark):
     assert sorted(packed.collect()) == sorted(pack(df).collect())
 
 
+def broadcast(text):
+    """What stands below each broadcast of a plan."""
+    lines, found = text.split("\n"), []
+    depths = [len(re.match(r"[\s:|*+-]*", line)[0]) for line in lines]
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            end = next((j for j in range(i + 1, len(lines)) if depths[j] <= depths[i]), len(lines))
+            found.append("\n".join(lines[i + 1 : end]))
+    return found
+
+
+def test_nothing_exploded_is_broadcast(spark, plan, monkeypatch):
+    """Spark sizes it by the rows before, so that a table of some 10 MB may fill the driver."""
+    plans, write = [], simhash.materialize
+
+    def kept(df, label="table"):
+        plans.append(plan(df))
+        return write(df, label)
+
+    for module in (components, exact_dedup, mixing, simhash):
+        monkeypatch.setattr(module, "materialize", kept)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") + str(rng.randrange(9)) for _ in range(40)) for _ in range(50)]
+    df = write(docs(spark, texts, [rng.choice("abc") for _ in texts]))
+    for stage in (corpus_pipeline.exact_dedup, corpus_pipeline.near_dedup, corpus_pipeline.mixing):
+        df = stage(spark, df, "")
+        plans.append(plan(df))
+        df = write(df)
+    below = [part for text in plans for part in broadcast(text)]
+    assert below and any("Generate explode" in text for text in plans)
+    assert not [part for part in below if "Generate explode" in part]
+
+
 def test_an_empty_table(spark):
     df = docs(spark, ["a"]).limit(0)
     for _, stage in corpus_pipeline.STAGES:
