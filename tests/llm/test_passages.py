@@ -5,7 +5,9 @@ from pathlib import Path
 import numpy as np
 from helpers import EDGES, clashing, docs
 
+from starload.llm import passages as module
 from starload.llm.passages import (
+    SHINGLE,
     WordHashes,
     compact_windows,
     repeated_passages,
@@ -182,6 +184,72 @@ def test_passages_near_repeats_and_edits():
         assert found[0][4] >= 0.8
 
 
+def brute_chains(rows, partners):
+    """What ``_chains_of_runs`` says it does, run by run; the first of equally good runs is taken."""
+    cells, runs = set(zip(rows, partners)), []
+    for i, j in cells:
+        if (i - 1, j - 1) not in cells:
+            n = 1
+            while (i + n, j + n) in cells:
+                n += 1
+            runs.append((i, j, n))
+    runs.sort(key=lambda x: (x[0] + x[2], x[1], x[1] - x[0]))
+    score, before = [], []
+    for t, (i, j, n) in enumerate(runs):
+        most, best = 0, -1
+        for s, (i2, j2, n2) in enumerate(runs[:t]):
+            skip = max(i2 + n2 - i, j2 + n2 - j, 0)
+            gap = i + skip - i2 - n2 + j + skip - j2 - n2
+            gain = score[s] - skip - module.GAP_COST * gap
+            if skip < n and gain > most:
+                most, best = gain, s
+        score.append(n + most)
+        before.append(best)
+    chains, used = [], set()
+    for t in sorted(range(len(runs)), key=lambda t: -score[t]):
+        path = []
+        while t >= 0 and (path or t not in used):
+            path.append(t)
+            t = before[t]
+        if sum(runs[x][2] for x in path if x not in used) >= SHINGLE:
+            used |= set(path)
+            chain, at, at_b = [], 0, 0
+            for i, j, n in (runs[x] for x in reversed(path)):
+                chain += [(i + k, j + k) for k in range(max(at - i, at_b - j, 0), n)]
+                at, at_b = i + n, j + n
+            chains.append(chain)
+    return chains
+
+
+def test_chains_of_runs_against_each_run():
+    rng = random.Random(16)
+    for size, top in ((20, 3), (30, 5), (50, 12), (60, 30)):
+        for _ in range(6):
+            a, b = ([rng.randrange(top) for _ in range(size)] for _ in range(2))
+            cells = [(i, j) for i in range(size) for j in range(size) if a[i] == b[j]]
+            rows, partners = np.array(cells).T
+            got = [list(zip(*(x.tolist() for x in c))) for c in module._chains_of_runs(rows, partners)]
+            want = brute_chains(*np.array(cells).T.tolist())
+            assert sorted(got) == sorted(want)
+
+
+def test_windows_are_laid_out_for_common_hashes_only(monkeypatch):
+    rng, known = random.Random(17), WordHashes()
+    shared = prose(rng, 80)
+    a, b = (shingles(" ".join(prose(rng, 300) + shared), known) for _ in range(2))
+    other = shingles(" ".join(prose(rng, 300)), known)
+    laid, extents = [], module._extents
+
+    def counted(*given):
+        laid.append(given)
+        return extents(*given)
+
+    monkeypatch.setattr(module, "_extents", counted)
+    assert shared_passages(a, other) == []
+    assert not laid
+    assert shared_passages(a, b) == shared_passages(a, b, b_windows=module.windows_of(b, 46)) != []
+
+
 def shuffled(spark):
     """Bytes of the shuffle files that are on disk."""
     blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
